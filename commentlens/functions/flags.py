@@ -37,7 +37,7 @@ def full_address(addresses: Column) -> Column:
 def proceeding_keys(proceedings: Column) -> Column:
     """Sorted keys of each entry, entries in array order; null if missing."""
     return F.array_join(
-        F.flatten(F.transform(proceedings, lambda p: F.array_sort(F.map_keys(p)))), " "
+        F.flatten(F.transform(proceedings, lambda p: F.sort_array(F.map_keys(p)))), " "
     )
 
 

@@ -22,23 +22,26 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
-def _stem(word: Column) -> Column:
-    """Plural stemmer of Harman (1991) after removing a possessive ending."""
-    w = F.regexp_replace(word, "['’]s?$", "")
+def _bare(word: Column) -> Column:
+    """Without a possessive ending."""
+    apostrophe = word.contains("'") | word.contains("’")
+    return F.when(apostrophe, F.regexp_replace(word, "['’]s?$", "")).otherwise(word)
+
+
+def _stem(w: Column) -> Column:
+    """Plural stemmer of Harman (1991)."""
     return (
-        F.when(F.length(w) < 4, w)
+        F.when(~w.endswith("s") | (F.length(w) < 4), w)
         .when(
             w.endswith("ies"),
-            F.when(w.endswith("eies") | w.endswith("aies"), w).otherwise(
-                F.concat(_chop(w, 3), F.lit("y"))
-            ),
+            F.when(w.endswith("eies") | w.endswith("aies"), w).otherwise(F.concat(_chop(w, 3), F.lit("y"))),
         )
         .when(
             w.endswith("es"),
             F.when(w.endswith("aes") | w.endswith("ees") | w.endswith("oes"), w).otherwise(_chop(w, 1)),
         )
-        .when(w.endswith("s") & ~w.endswith("us") & ~w.endswith("ss"), _chop(w, 1))
-        .otherwise(w)
+        .when(w.endswith("us") | w.endswith("ss"), w)
+        .otherwise(_chop(w, 1))
     )
 
 
@@ -46,10 +49,25 @@ def _chop(w: Column, n: int) -> Column:
     return F.substring(w, F.lit(1), F.length(w) - F.lit(n))
 
 
+def stem_words(words: Column) -> Column:
+    # Two passes, so that the bare word is computed once and not at each test of the stemmer.
+    return F.transform(F.transform(words, _bare), _stem)
+
+
+def without_stop_words(words: Column) -> Column:
+    return F.filter(words, lambda w: ~w.isin(STOP_WORDS))
+
+
 def english_tokens(words: Column) -> Column:
     """Stop words dropped, possessive and plural endings removed, order kept."""
-    kept = F.filter(words, lambda w: ~w.isin(STOP_WORDS))
-    return F.transform(kept, _stem)
+    return stem_words(without_stop_words(words))
+
+
+def surface_forms(stem: str) -> list[str]:
+    """All words that ``english_tokens`` turns into ``stem``."""
+    bases = [stem, stem + "s"] + ([stem[:-1] + "ies"] if stem.endswith("y") else [])
+    forms = [base + tail for base in bases for tail in ("", "'s", "’s")]
+    return [w for w in forms if w not in STOP_WORDS and _stem_word(w) == stem]
 
 
 def query_terms(query: str, english: bool = False) -> list[str]:
@@ -74,10 +92,12 @@ def _stem_word(word: str) -> str:
 
 
 def fingerprint(text: Column) -> Column:
-    """Distinct a-z words of the text in sorted order, cut at 1000 characters."""
-    joined = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "['-]+", "")
-    letters = F.regexp_replace(joined, "[^a-z ]+", " ")
-    words = F.array_sort(F.array_distinct(F.array_remove(F.split(letters, " +"), "")))
+    """Distinct a-z words of the text in sorted order, cut at 1000 characters.
+
+    Apostrophes and hyphens join their word; every other non-letter separates words.
+    """
+    joined = F.translate(F.lower(F.coalesce(text, F.lit(""))), "'-", "")
+    words = F.sort_array(F.array_distinct(F.array_remove(F.split(joined, "[^a-z]+"), "")))
     return F.substring(F.array_join(words, " "), 1, 1000)
 
 

@@ -42,8 +42,18 @@ def annotate(
     labels: dict[str, bool] | None = None,
     support: list[str] = domain.SUPPORT_PATTERNS,
     oppose: list[str] = domain.OPPOSE_PATTERNS,
+    support_needs: list[str] | None = None,
+    oppose_needs: list[str] | None = None,
 ) -> DataFrame:
-    """Add the ``analysis`` struct. Leaves that other jobs own start as null."""
+    """Add the ``analysis`` struct. Leaves that other jobs own start as null.
+
+    ``support_needs`` and ``oppose_needs`` are literals of which every match of the patterns holds
+    one; they default to those of the docket's own patterns and to none for others.
+    """
+    if support_needs is None:
+        support_needs = domain.SUPPORT_NEEDS if support is domain.SUPPORT_PATTERNS else []
+    if oppose_needs is None:
+        oppose_needs = domain.OPPOSE_NEEDS if oppose is domain.OPPOSE_PATTERNS else []
     labels = stance_labels() if labels is None else labels
     body = F.col("text_data")
     has = set(filings.columns)
@@ -54,8 +64,12 @@ def annotate(
     proceedings = column("proceedings", "array<map<string,string>>")
     # The optimizer keeps this as its own projection because the rules use it many times, so the
     # text is lower-cased and the source is found once per row.
-    staged = filings.withColumn("_lower", F.lower(body)).withColumn(
-        "_source", source_label(rules, body, F.col("_lower"))
+    lowered = F.col("_lower")
+    staged = filings.withColumn("_lower", F.lower(body)).withColumns(
+        {
+            "_source": source_label(rules, body, lowered),
+            "_stance": text_stance(body, support, oppose, lowered, support_needs, oppose_needs),
+        }
     )
     source = F.col("_source")
     address = (
@@ -69,14 +83,14 @@ def annotate(
         "onsite": flags.onsite(proceedings),
         "ingestion_method": flags.ingestion_method(column("browser", "string"), proceedings),
         "fingerprint": text.fingerprint(body),
-        "titleii": F.coalesce(source_stance(source, labels), text_stance(body, support, oppose)),
+        "titleii": F.coalesce(source_stance(source, labels), F.col("_stance")),
         "words": text.word_count(body),
         "untaggable": text.untaggable(body),
     }
     for leaf in LATER_LEAVES:
         leaves[leaf.name] = F.lit(None).cast(leaf.dataType)
     struct = F.struct(*(leaves[f.name].alias(f.name) for f in ANALYSIS.fields))
-    return staged.withColumn("analysis", struct).drop("_lower", "_source")
+    return staged.withColumn("analysis", struct).drop("_lower", "_source", "_stance")
 
 
 # Annotators by name, so that a job can compute a single leaf. Each takes the filing's columns.

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.binding import let
 from ..functions.text import query_terms, tokens
 
 
@@ -94,12 +95,14 @@ def matched_phrases(words: Column, phrases: Sequence[str], slop: int = 0) -> Col
     """Array of the phrases found in the word array ``words``."""
     table = _phrase_table(phrases)
     vocabulary = list(dict.fromkeys(t for _, terms in table for t in terms))
-    present = F.array_intersect(words, F.array(*map(F.lit, vocabulary)))
-    candidates = F.filter(
-        _literal_phrases(table), lambda p: F.size(F.array_except(p["terms"], present)) == 0
-    )
-    found = F.filter(candidates, lambda p: _has_phrase(words, p, slop))
-    return F.transform(found, lambda p: p["phrase"])
+    literal = _literal_phrases(table)
+
+    def search(present: Column) -> Column:
+        candidates = F.filter(literal, lambda p: F.size(F.array_except(p["terms"], present)) == 0)
+        found = F.filter(candidates, lambda p: _has_phrase(words, p, slop))
+        return F.transform(found, lambda p: p["phrase"])
+
+    return let(F.array_intersect(words, F.array(*map(F.lit, vocabulary))), search)
 
 
 def phrase_frequency(words: Column, phrase: str) -> Column:

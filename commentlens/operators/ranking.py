@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import english_tokens, query_terms, tokens
+from ..functions.binding import let
+from ..functions.text import query_terms, stem_words, surface_forms, tokens, without_stop_words
 from .phrases import phrase_frequency
 
 K1 = 1.2
@@ -27,8 +28,11 @@ def _weights(clauses: Sequence[str], english: bool) -> dict[str, int]:
 
 def _tf(words: Column, terms: Sequence[str]) -> Column:
     """Counts of each query word, in query order. The document is walked once."""
-    hits = F.filter(words, lambda w: w.isin(list(terms)))
-    return F.transform(F.array(*map(F.lit, terms)), lambda t: F.size(F.filter(hits, lambda w: w == t)))
+    wanted = F.array(*map(F.lit, terms))
+    return let(
+        F.filter(words, lambda w: w.isin(list(terms))),
+        lambda hits: F.transform(wanted, lambda t: F.size(F.filter(hits, lambda w: w == t))),
+    )
 
 
 def idf(n: Column, df: Column) -> Column:
@@ -59,14 +63,19 @@ def bm25_scores(
     phrase_terms = list(dict.fromkeys(query_terms(phrase))) if phrase else []
 
     def measured(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-        base = df.filter(F.col(text).isNotNull()).select(*columns, tokens(F.col(text)).alias("_standard"))
-        wide = base
-        if "english" in fields:
-            wide = wide.withColumn("_english", english_tokens(F.col("_standard")))
+        wide = df.filter(F.col(text).isNotNull()).select(*columns, tokens(F.col(text)).alias("_standard"))
+        words = F.col("_standard")
         out = []
         for field in fields:
             terms = list(_weights(clauses, field == "english"))
-            out += [F.size(f"_{field}").alias(f"_len_{field}"), _tf(F.col(f"_{field}"), terms).alias(f"_tf_{field}")]
+            if field == "english":
+                # Only words that can become a query word are stemmed; the length needs no stems.
+                forms = [form for t in terms for form in surface_forms(t)]
+                length = F.size(without_stop_words(words))
+                counts = _tf(stem_words(F.filter(words, lambda w: w.isin(forms))), terms)
+            else:
+                length, counts = F.size(words), _tf(words, terms)
+            out += [length.alias(f"_len_{field}"), counts.alias(f"_tf_{field}")]
         if phrase:
             out.append(phrase_frequency(F.col("_standard"), phrase).alias("_tf_phrase"))
             out += [F.array_contains("_standard", t).alias(f"_has_phrase_{i}") for i, t in enumerate(phrase_terms)]

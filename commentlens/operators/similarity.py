@@ -94,14 +94,14 @@ def build_index(
     ).withColumn("score", F.round(F.col("tf") * (F.lit(1.0) + F.log(F.col("n") / (F.col("df") + 1))), 6))
     per_text = weighted.groupBy("rep").agg(
         F.first("weight").alias("weight"),
-        F.array_sort(
+        F.sort_array(
             F.collect_list(F.struct((-F.col("score")).alias("order"), "term", "nd", "score"))
         ).alias("ranked"),
     )
     profiles = per_text.select(
         "rep",
         "weight",
-        F.array_sort(F.transform("ranked", lambda r: r["term"])).alias("terms"),
+        F.sort_array(F.transform("ranked", lambda r: r["term"])).alias("terms"),
         F.slice("ranked", 1, params.max_terms).alias("query"),
     )
     return Index(materialize(profiles, "profiles"), members, params)
@@ -125,7 +125,7 @@ def shape_of(index: Index) -> DataFrame:
 
 def query_of(index: Index) -> DataFrame:
     """``rep, query_id`` for every distinct text with enough query words."""
-    words = F.array_sort(F.transform("query", lambda q: q["term"]))
+    words = F.sort_array(F.transform("query", lambda q: q["term"]))
     return index.profiles.filter(F.size("query") >= index.params.min_terms).select(
         "rep", _signature(words).alias("query_id")
     )
@@ -140,11 +140,11 @@ def signature_matches(index: Index, seed_reps: DataFrame | None = None) -> DataF
     seeds = index.profiles.filter(F.size("query") >= p.min_terms)
     if seed_reps is not None:
         seeds = seeds.join(seed_reps.select("rep").distinct(), "rep", "left_semi")
-    words = F.array_sort(F.transform("query", lambda q: q["term"]))
+    words = F.sort_array(F.transform("query", lambda q: q["term"]))
     # Word statistics are the same in every profile, so any row of the group can stand for it.
     queries = (
         seeds.select(_signature(words).alias("query_id"), words.alias("words"),
-                     F.array_sort(F.transform("query", lambda q: F.struct(q["nd"].alias("nd"), q["term"].alias("term")))).alias("rarest"))
+                     F.sort_array(F.transform("query", lambda q: F.struct(q["nd"].alias("nd"), q["term"].alias("term")))).alias("rarest"))
         .dropDuplicates(["query_id"])
         .withColumn("need", F.greatest(F.lit(1), F.floor(F.size("words") * F.lit(p.match_share)).cast("int")))
     )

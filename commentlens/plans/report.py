@@ -97,7 +97,7 @@ def exemplars(comments: DataFrame, source: Column, doc_id: str = "id_submission"
 def _as_map(df: DataFrame, value: Column, name: str) -> DataFrame:
     """Short report table as one map. Rows are bounded by the report's size."""
     return df.agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("source"), value.alias("v"))))).alias(name)
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col("source"), value.alias("v"))))).alias(name)
     )
 
 

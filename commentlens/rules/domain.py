@@ -135,6 +135,7 @@ SOURCE_RULES: list[Rule] = [
         "It (undid|broke|disrupted|stopped|reversed|ended) a (market-based|pro-consumer|free-market|hands-off|light-touch) (policy|approach|system|framework) that (performed|functioned|worked) (fabulously|exceptionally|very, very|very|supremely|remarkably) (smoothly|successfully|well) for (many years|a long time|two decades|decades) with (Republican and Democrat|bipartisan|both parties'|nearly universal|broad bipartisan) (consensus|approval|backing|support)",
         mode="regex_anchored",
         target="last_sentence",
+        needs=("It ",),
     ),
     any_of(
         "johnoliver",
@@ -143,6 +144,7 @@ SOURCE_RULES: list[Rule] = [
         "i( specifically| strongly)? support( strong)? net neutrality,?( oversight)?( backed)? by title (ii|2|two|ll) oversight",
         mode="regex_search",
         ignore_case=True,
+        needs=("net neutrality",),
     ),
 ]
 
@@ -161,6 +163,10 @@ OPPOSE_PATTERNS = [
     "please roll ?back",
 ]
 
+# Literals without which none of the patterns above can match.
+SUPPORT_NEEDS = ["neutral", "title", "do not "]
+OPPOSE_NEEDS = ["internet takeover", "please "]
+
 # --- fixed values: source catalogue (label, icon, stance, url) --------------------------------
 CATALOGUE: list[tuple[str, str, str, str | None]] = [
     ("bot.recursive", "bot", "negative", None),

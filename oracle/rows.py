@@ -56,7 +56,7 @@ def docket_source(spark, sf):
 def stance_text(spark, sf):
     return v.filings(spark, sf).select(
         "id_submission",
-        text_stance(F.col("text_data"), domain.SUPPORT_PATTERNS, domain.OPPOSE_PATTERNS).alias("stance"),
+        text_stance(F.col("text_data"), domain.SUPPORT_PATTERNS, domain.OPPOSE_PATTERNS, None, domain.SUPPORT_NEEDS, domain.OPPOSE_NEEDS).alias("stance"),
     )
 
 
