@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import predicates
 from ..functions.predicates import Reviewed, Tags
-from ..spark_env import cut_lineage
+from ..spark_env import cut_lineage, materialize
 from .similarity import Index, query_of, shape_of, signature_matches, too_short
 from .skew import lookup
 
@@ -65,7 +65,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def _leader_edges(index: Index, seed_reps: DataFrame, hubs: DataFrame) -> DataFrame:
     """Edges from every shape a query matches to the smallest shape it matches."""
     matches = signature_matches(index, seed_reps)
-    found = matches.join(hubs.hint("merge"), "shape").select("query_id", "node")
+    found = materialize(matches.join(hubs.hint("merge"), "shape").select("query_id", "node"), "matches")
     hub = found.groupBy("query_id").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n"))
     return lookup(found, hub, "query_id", "n", F.col("node")).select(
         F.col("node").alias("a"), F.col("hub").alias("b")

@@ -97,24 +97,38 @@ def matched_phrases(words: Column, phrases: Sequence[str], slop: int = 0) -> Col
     vocabulary = list(dict.fromkeys(t for _, terms in table for t in terms))
     literal = _literal_phrases(table)
 
-    def search(present: Column) -> Column:
-        candidates = F.filter(literal, lambda p: F.size(F.array_except(p["terms"], present)) == 0)
-        found = F.filter(candidates, lambda p: _has_phrase(words, p, slop))
-        return F.transform(found, lambda p: p["phrase"])
+    vocabulary_literal = F.array(*map(F.lit, vocabulary))
 
-    return let(F.array_intersect(words, F.array(*map(F.lit, vocabulary))), search)
+    def search(words: Column) -> Column:
+        def among(present: Column) -> Column:
+            candidates = F.filter(literal, lambda p: F.size(F.array_except(p["terms"], present)) == 0)
+            found = F.filter(candidates, lambda p: _has_phrase(words, p, slop))
+            return F.transform(found, lambda p: p["phrase"])
+
+        return let(F.array_intersect(words, vocabulary_literal), among)
+
+    # The words are bound too: a filter on the result would otherwise be pushed below the
+    # projection that computes them and tokenize the text again at every use.
+    return let(words, search)
 
 
 def phrase_frequency(words: Column, phrase: str) -> Column:
     """How often the exact phrase occurs in ``words``."""
     terms = query_terms(phrase)
-    starts = F.sequence(F.lit(0), F.size(words) - F.lit(1))
-    hit = lambda p: F.forall(
-        F.array(*(F.coalesce(F.get(words, p + F.lit(i)) == F.lit(t), F.lit(False)) for i, t in enumerate(terms))),
-        lambda ok: ok,
-    )
-    full = F.forall(F.array(*map(F.lit, dict.fromkeys(terms))), lambda t: F.array_contains(words, t))
-    return F.when(F.size(words) >= len(terms), F.when(full, F.size(F.filter(starts, hit))).otherwise(0)).otherwise(0)
+    distinct = F.array(*map(F.lit, dict.fromkeys(terms)))
+
+    def count(words: Column) -> Column:
+        def starts_here(p: Column) -> Column:
+            hit = F.lit(True)
+            for i, term in enumerate(terms):
+                hit = hit & F.coalesce(F.get(words, p + F.lit(i)) == F.lit(term), F.lit(False))
+            return hit
+
+        complete = F.size(F.array_intersect(distinct, words)) == len(set(terms))
+        places = F.sequence(F.lit(0), F.size(words) - F.lit(1))
+        return F.when(complete, F.size(F.filter(places, starts_here))).otherwise(0)
+
+    return let(words, count)
 
 
 def match_phrases(

@@ -6,9 +6,10 @@
 3. Representatives with the same query words share one *query*, those with the same eligible words
    share one *shape*. A query either matches a whole shape or none of it, so near copies that
    differ only in rare words (names, towns) are compared once.
-4. A match needs ``need`` of the ``k`` query words, so it must hold at least one of any
-   ``k - need + 1`` of them. Candidates come from the rarest ones only; every candidate is then
-   checked exactly. No partner is lost, and no cap is set.
+4. A match needs ``need`` of the ``k`` query words and so misses at most ``k - need``. Of any
+   ``k - need + e`` query words it must hold at least ``e``. Candidates are the shapes that hold
+   ``e`` of that many rarest words; every candidate is then checked exactly. No partner is lost,
+   and no cap is set.
 """
 
 from __future__ import annotations
@@ -25,6 +26,9 @@ from .ranking import idf as bm25_idf
 from .ranking import saturation
 from .skew import lookup
 
+# The ``e`` above. More probes make fewer candidates; three is a good balance.
+PROBE_HITS = 3
+
 # Shapes of one candidate word that one task may hold; words in more shapes are split.
 SPLIT_ROWS = 50_000
 
@@ -69,7 +73,9 @@ def build_index(
     present = docs.filter(F.col(text).isNotNull()).select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text")
     )
-    keyed = present.select("doc_id", text_key(F.col("text")).alias("key"))
+    # Each of the three tables below is read several times, so it is written once: the ids and text
+    # keys, the words of each distinct text, and the document frequencies.
+    keyed = materialize(present.select("doc_id", text_key(F.col("text")).alias("key")), "keys")
     groups = keyed.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight"))
     members = lookup(keyed, groups, "key", "weight", F.col("doc_id")).select("doc_id", "rep")
 
@@ -77,10 +83,11 @@ def build_index(
     # count reuses the partitioning of the join.
     reps = groups.select("rep", "weight")
     kept = present.join(reps.hint("merge"), present["doc_id"] == reps["rep"]).select("rep", "weight", "text")
-    counted = (
+    counted = materialize(
         kept.select("rep", "weight", F.explode(tokens(F.col("text"))).alias("term"))
         .groupBy("rep", "term")
-        .agg(F.first("weight").alias("weight"), F.count(F.lit(1)).alias("tf"))
+        .agg(F.first("weight").alias("weight"), F.count(F.lit(1)).alias("tf")),
+        "words",
     )
     corpus = groups.agg(F.sum("weight").cast("double").alias("n"))
     frequency = counted.groupBy("term").agg(
@@ -89,6 +96,7 @@ def build_index(
     eligible = frequency.crossJoin(F.broadcast(corpus)).filter(F.col("df") >= params.min_df)
     if params.max_df_share is not None:
         eligible = eligible.filter(F.col("df") <= F.col("n") * params.max_df_share)
+    eligible = materialize(eligible, "frequencies")
     weighted = lookup(
         counted.select("rep", "weight", "term", "tf"), eligible, "term", "nd", F.col("rep")
     ).withColumn("score", F.round(F.col("tf") * (F.lit(1.0) + F.log(F.col("n") / (F.col("df") + 1))), 6))
@@ -147,6 +155,7 @@ def signature_matches(index: Index, seed_reps: DataFrame | None = None) -> DataF
                      F.sort_array(F.transform("query", lambda q: F.struct(q["nd"].alias("nd"), q["term"].alias("term")))).alias("rarest"))
         .dropDuplicates(["query_id"])
         .withColumn("need", F.greatest(F.lit(1), F.floor(F.size("words") * F.lit(p.match_share)).cast("int")))
+        .withColumn("hits", F.least(F.lit(PROBE_HITS), F.col("need")))
     )
     shapes = index.profiles.select(
         _signature(F.col("terms")).alias("shape"), "terms"
@@ -158,17 +167,24 @@ def signature_matches(index: Index, seed_reps: DataFrame | None = None) -> DataF
     probes = (
         queries.select(
             "query_id",
-            F.explode(F.slice("rarest", F.lit(1), F.size("words") - F.col("need") + 1)).alias("probe"),
+            "hits",
+            F.explode(F.slice("rarest", F.lit(1), F.size("words") - F.col("need") + F.col("hits"))).alias("probe"),
         )
-        .select("query_id", F.col("probe.term").alias("term"), F.col("probe.nd").alias("nd"))
+        .select("query_id", "hits", F.col("probe.term").alias("term"), F.col("probe.nd").alias("nd"))
     )
     probe_terms = probes.groupBy("term").agg(F.max("nd").alias("nd"))
     dealt = (
         lookup(shapes.select("shape", F.explode("terms").alias("term")), probe_terms, "term", "nd", F.col("shape"))
         .select("shape", "term", F.pmod(F.xxhash64("shape"), splits).cast("int").alias("part"))
     )
-    copied = probes.select("query_id", "term", F.explode(F.sequence(F.lit(0), splits - 1)).alias("part"))
-    candidates = copied.join(dealt.hint("merge"), ["term", "part"]).select("query_id", "shape").distinct()
+    copied = probes.select("query_id", "hits", "term", F.explode(F.sequence(F.lit(0), splits - 1)).alias("part"))
+    candidates = (
+        copied.join(dealt.hint("merge"), ["term", "part"])
+        .groupBy("query_id", "shape", "hits")
+        .agg(F.count(F.lit(1)).alias("found"))
+        .filter(F.col("found") >= F.col("hits"))
+        .select("query_id", "shape")
+    )
     checked = (
         candidates.join(queries.select("query_id", "words", "need").hint("merge"), "query_id")
         .join(shapes.hint("merge"), "shape")

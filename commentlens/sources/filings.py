@@ -27,6 +27,18 @@ def parse_addresses(raw: Column) -> Column:
     )
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores on input that comes in fewer splits than there are cores.
+
+    Text work is far dearer than the read, so a few big row groups would leave most cores idle.
+    Larger inputs have more splits than that and are returned as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def shape_filings(raw: DataFrame) -> DataFrame:
     """Rows read with ``RAW``, brought to the ``FILING`` schema."""
     return raw.withColumns(
@@ -39,7 +51,7 @@ def shape_filings(raw: DataFrame) -> DataFrame:
 
 def read_filings(spark: SparkSession, path: str) -> DataFrame:
     """JSON-lines filings. The explicit schema is the whitelist: other fields are never parsed."""
-    return shape_filings(spark.read.schema(RAW).json(path))
+    return shape_filings(spread(spark.read.schema(RAW).json(path), "id_submission"))
 
 
 def in_docket(proceedings: Column, name: str) -> Column:

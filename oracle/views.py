@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commentlens.functions.predicates import Reviewed, Tags
+from commentlens.sources.filings import spread
 from commentlens.rules import domain
 from commentlens.rules.model import Rule, all_of, any_of, prefix
 
@@ -20,7 +21,8 @@ def quote(text: str) -> str:
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread(df, "doc_id") if name == "documents" else df
 
 
 # Rules whose words occur in the fixture documents.
