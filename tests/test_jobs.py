@@ -98,7 +98,7 @@ def test_cluster_patch_marks_short_and_members(spark):
     got = {r.id: r.more_like_this for r in clusters.cluster_patch(df, index, tags, "id").collect()}
     assert got[9].too_short and got[9].src_doc_id is None
     assert {got[i].src_doc_id for i in range(6)} == {"0"} and got[0].is_source and not got[5].is_source
-    assert got[4].matches == 5 and got[4].source == "form.x" or got[4].source is None
+    assert got[4].matches == 5 and got[4].source == "form.x"
 
 
 def test_merge_keeps_absent_and_clears_null(spark):

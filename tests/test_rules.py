@@ -51,10 +51,10 @@ TEXTS = [
 ]
 
 
-@pytest.mark.parametrize("text,label", TEXTS)
-def test_source(spark, text, label):
-    df = spark.createDataFrame([(text,)], "t string").withColumn("l", F.lower("t"))
-    assert df.select(source_label(domain.SOURCE_RULES, F.col("t"), F.col("l"))).first()[0] == label
+def test_source(spark):
+    df = spark.createDataFrame([(t,) for t, _ in TEXTS], "t string").withColumn("l", F.lower("t"))
+    got = df.select("t", source_label(domain.SOURCE_RULES, F.col("t"), F.col("l"))).collect()
+    assert [tuple(r) for r in got] == TEXTS
 
 
 STANCES = [
@@ -70,12 +70,11 @@ STANCES = [
 ]
 
 
-@pytest.mark.parametrize("text,stance", STANCES)
-def test_stance(spark, text, stance):
-    df = spark.createDataFrame([(text,)], "t string")
+def test_stance(spark):
+    df = spark.createDataFrame([(t,) for t, _ in STANCES], "t string")
     plain = text_stance(F.col("t"), domain.SUPPORT_PATTERNS, domain.OPPOSE_PATTERNS)
     gated = text_stance(F.col("t"), domain.SUPPORT_PATTERNS, domain.OPPOSE_PATTERNS, None, domain.SUPPORT_NEEDS, domain.OPPOSE_NEEDS)
-    assert list(df.select(plain, gated).first()) == [stance, stance]
+    assert [tuple(r) for r in df.select("t", plain, gated).collect()] == [(t, s, s) for t, s in STANCES]
 
 
 def test_every_label_is_known():
@@ -124,7 +123,7 @@ def test_annotate_one_filing(spark):
         "administration end imposed internet isnt it lighttouch now obama on power regulatory the unprecedented"
     )
     assert (a.onsite, a.ingestion_method, a.proceedings_keys) == (False, "api", "name")
-    assert (a.words, a.untaggable) == (14, False)
+    assert (a.words, a.untaggable) == (len(row["text_data"].split(" ")), False)
 
 
 def test_annotate_missing_everything(spark):
