@@ -9,6 +9,10 @@ from ..functions.predicates import has_email
 from .similarity import sample_order
 
 
+# Up to this many rows per group Spark's window plan cuts groups before the shuffle by default.
+MAP_SIDE_LIMIT = 1000
+
+
 def random_sample(
     comments: DataFrame,
     n: int,
@@ -18,11 +22,16 @@ def random_sample(
 ) -> DataFrame:
     """``n`` random rows of each ``by`` group (or of all rows), the same for the same ``seed``.
 
-    Spark limits each group per map task before the shuffle, so a large group does not travel.
+    Spark limits each group per map task before the shuffle, so a large group does not travel. It
+    does so for samples of up to 1000 rows; for larger ones each group is first cut to ``n`` rows
+    in every one of 256 lots, which keeps the sample the same.
     """
     ordered = comments.withColumn("_order", sample_order(F.col(doc_id), seed))
     if by is None:
         return ordered.orderBy("_order", doc_id).limit(n).drop("_order")
+    if n > MAP_SIDE_LIMIT:
+        lot = Window.partitionBy(by, F.pmod(F.xxhash64(doc_id), F.lit(256))).orderBy("_order", doc_id)
+        ordered = ordered.withColumn("_r", F.row_number().over(lot)).filter(F.col("_r") <= n)
     window = Window.partitionBy(by).orderBy("_order", doc_id)
     return ordered.withColumn("_r", F.row_number().over(window)).filter(F.col("_r") <= n).drop("_r", "_order")
 

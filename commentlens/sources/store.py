@@ -40,10 +40,11 @@ def read_comments(spark: SparkSession, path: str, schema: T.StructType = TABLE)
 def write_days(rows: DataFrame, path: str) -> None:
     """Replace exactly the days present in ``rows``.
 
-    Rows are spread by day and id: a day with a large share of the data is written by many tasks.
+    The rebalance lets adaptive execution split a day with a large share of the data over many
+    tasks and put small days together, so files are neither huge nor tiny.
     """
     (
-        rows.repartition(F.col(DAY), F.pmod(F.xxhash64(KEY), F.lit(64)))
+        rows.hint("rebalance", DAY)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from commentlens.functions.predicates import Tags
-from commentlens.operators import clusters, merge, similarity
+from commentlens.operators import clusters, merge, sampling, similarity
 from commentlens.operators.skew import lookup
 from commentlens.plans import daily
 from commentlens.sources import filings, store
@@ -110,6 +110,13 @@ def test_merge_keeps_absent_and_clears_null(spark):
         merge.merge_analysis(stored, patch.withColumn("odd", F.lit(1)), "id")
 
 
+def test_large_samples_are_the_same(spark, monkeypatch):
+    rows = spark.range(500).select(F.col("id"), (F.col("id") % 3).alias("g"))
+    usual = sorted(sampling.random_sample(rows, 40, "s", "g", "id").collect())
+    monkeypatch.setattr(sampling, "MAP_SIDE_LIMIT", 1)
+    assert sorted(sampling.random_sample(rows, 40, "s", "g", "id").collect()) == usual and len(usual) == 120
+
+
 def _write(spark, path, rows):
     spark.createDataFrame([(r,) for r in rows], "value string").write.text(path)
 
