@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import predicates
 from ..functions.predicates import Reviewed, Tags
+from ..spark_env import cut_lineage
 
 
 def _count(condition: Column) -> Column:
@@ -21,7 +22,11 @@ def by_source(
     comments: DataFrame, reviewed: Reviewed, tags: Tags | None = None, breached: Column | None = None,
     when: Column | None = None,
 ) -> DataFrame:
-    """One row per source with every count the reports use."""
+    """One row per source with every count the reports use.
+
+    Computed at once and checkpointed: the reports read it several times, each with other columns,
+    and would otherwise go through the whole corpus each time.
+    """
     tags = tags or Tags()
     breached = F.col("analysis.breached") if breached is None else breached
     when = F.col("date_disseminated") if when is None else when
@@ -34,7 +39,7 @@ def by_source(
         breached.alias("breached"),
         when.alias("when"),
     )
-    return flat.groupBy("source").agg(
+    counts = flat.groupBy("source").agg(
         F.count(F.lit(1)).alias("total"),
         F.max("when").alias("latest"),
         _count(F.col("pos")).alias("positive"),
@@ -45,6 +50,7 @@ def by_source(
         _count(F.col("breached")).alias("breached"),
         _count(~F.col("breached")).alias("unbreached"),
     )
+    return cut_lineage(counts)
 
 
 def corpus_totals(counts: DataFrame) -> DataFrame:
