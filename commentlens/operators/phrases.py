@@ -139,7 +139,7 @@ def match_phrases(
     text: str = "text_data",
 ) -> DataFrame:
     """``doc_id, phrase`` for each phrase a document holds. No shuffle."""
-    staged = docs.select(F.col(doc_id), tokens(F.col(text)).alias("_words")).filter(F.size("_words") > 0)
+    staged = docs.select(F.col(doc_id), tokens(F.col(text)).alias("_words"))
     hits = staged.select(doc_id, F.explode(matched_phrases(F.col("_words"), phrases, slop)).alias("phrase"))
     return hits
 
@@ -153,7 +153,7 @@ def phrase_tag(
     text: str = "text_data",
 ) -> DataFrame:
     """Patch rows ``doc_id, source`` for documents that hold any of the phrases."""
-    staged = untagged.select(F.col(doc_id), tokens(F.col(text)).alias("_words")).filter(F.size("_words") > 0)
+    staged = untagged.select(F.col(doc_id), tokens(F.col(text)).alias("_words"))
     return staged.filter(F.size(matched_phrases(F.col("_words"), phrases, slop)) > 0).select(
         doc_id, F.lit(label).alias("source")
     )

@@ -99,25 +99,24 @@ def bm25_scores(
 
     n = F.col("_n")
     parts: list[Column] = []
-    matched: Column = F.lit(False)
     for field in fields:
         for i, (_, weight) in enumerate(_weights(clauses, field == "english").items()):
             tf = F.col(f"_tf_{field}")[i]
-            matched = matched | (tf > 0)
             part = idf(n, F.col(f"_df_{field}_{i}")) * saturation(
                 tf, F.col(f"_len_{field}"), F.col(f"_mean_{field}")
             )
             parts.append(F.when(tf > 0, F.lit(float(weight)) * part).otherwise(F.lit(0.0)))
     if phrase_terms:
         tf = F.col("_tf_phrase")
-        matched = matched | (tf > 0)
         weight_sum = sum((idf(n, F.col(f"_df_phrase_{i}")) for i in range(len(phrase_terms))), F.lit(0.0))
         part = weight_sum * saturation(tf, F.col("_len_standard"), F.col("_mean_standard"))
         parts.append(F.when(tf > 0, part).otherwise(F.lit(0.0)))
     total = parts[0]
     for part in parts[1:]:
         total = total + part
-    return scored.filter(matched).select(doc_id, *keep, F.round(total, 6).alias("score"))
+    # Every matching clause adds a positive score. The test is on the score and not on the counts,
+    # as the optimizer would push a test of the counts below the tokenizer and repeat it per word.
+    return scored.filter(total > 0).select(doc_id, *keep, F.round(total, 6).alias("score"))
 
 
 def top_k(
