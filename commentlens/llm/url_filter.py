@@ -23,10 +23,11 @@ BAD_HOSTS = (
     "crypto-giveaway",
 )
 GOOD_HOSTS = (
-    "library", "garden", "history", "science", "weather", "cooking", "museum", "travel", "school", "city-news", "music", "health", "sports", "blog",
-    "forum", "code", "maths", "thonreer", "inghaed", "ouentre", "lepaier", "achunger", "keitsch", "rrosque", "cionadi", "erblend", "static", "m.reader",
-    "docs-online", "open-data",
+    "library", "garden", "history", "science", "weather", "cooking", "museum", "travel", "school", "city-news", "music", "health", "sports",
+    "forum", "code", "maths", "reader", "docs-online", "open-data", "static",
 )
+PARTS = ("th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "of", "or", "nt", "ea", "ti", "it", "st", "le", "ou", "ing", "tion", "ble")
+PREFIXES = ("", "www.", "m.", "blog.")
 BAD_PATHS = ("/win/jackpot", "/bet/now.html", "/pills/cheap", "/xxx/video", "/track/click", "/bonus/free", "/adult/cams")
 GOOD_PATHS = ("/en/1204", "/de/artikel/77.html", "/fr/page/3", "/es/8423/", "/about", "/2017/05/report.html", "/wiki/garden")
 
@@ -57,11 +58,14 @@ def grams(host: Column, path: Column) -> Column:
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
     """``url, label``: the small table that the model is trained on; 1 is to be blocked."""
-    domains = ("example.com", "example.org", "site.info")
-    bad = [(f"http://{h}.{d}{p}", 1.0) for i, h in enumerate(BAD_HOSTS) for d in domains for p in (BAD_PATHS[i % 7], GOOD_PATHS[i % 7])]
-    good = [(f"http://{h}.{d}{p}", 0.0) for i, h in enumerate(GOOD_HOSTS) for d in domains for p in (GOOD_PATHS[i % 7], GOOD_PATHS[(i + 3) % 7])]
-    mixed = [(f"http://{h}.example.com{p}", 1.0) for h in GOOD_HOSTS[:10] for p in BAD_PATHS]
-    return spark.createDataFrame(bad + good + mixed, "url string, label double").coalesce(1)
+    domains = ("example.com", "example.org", "example.net")
+    # Names made of common letter pairs stand for the many harmless hosts of no known kind.
+    plain = [a + b + PARTS[(i * k) % len(PARTS)] for i, a in enumerate(PARTS) for k, b in enumerate(PARTS) if (i + k) % 2]
+    good = [*GOOD_HOSTS, *plain]
+    url = lambda i, host, paths: f"http://{PREFIXES[i % 4]}{host}.{domains[i % 3]}{paths[i % len(paths)]}"
+    rows = [(url(i, h, GOOD_PATHS), 0.0) for i, h in enumerate(good)]
+    rows += [(url(i + k, h, BAD_PATHS if k < 2 else GOOD_PATHS), 1.0) for i, h in enumerate(BAD_HOSTS) for k in range(6)]
+    return spark.createDataFrame(rows, "url string, label double").coalesce(1)
 
 
 def featured(urls: DataFrame) -> DataFrame:
