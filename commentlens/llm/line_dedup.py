@@ -122,21 +122,23 @@ def shared_lines(lines: DataFrame, min_docs: int = MIN_DOCS, batches: int = BATC
 
 
 def drop_shared_lines(
-    docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, doc_id: str = "doc_id", text: str = "text", carry: list[str] | None = None
 ) -> DataFrame:
-    """``doc_id, n_lines, n_dropped, text``: documents without the lines that many share.
+    """``doc_id, n_lines, n_dropped, text`` and the columns to ``carry``: documents without the
+    lines that many share.
 
     A document is an id: rows that repeat an id count once, and a missing id is one document that
     sorts before all others. A missing or empty text is one empty line, which is too short to be
     dropped. Line ends other than ``\\n`` are white space of their line.
     """
-    docs = inputs(docs, doc_id, text)
+    carry = carry or []
+    docs = inputs(docs, doc_id, text, F.struct(F.lit(0).alias("none"), *carry).alias("_carried"))
     lines = materialize(keyed_lines(docs, min_chars), "lines")
     shared = shared_lines(lines, min_docs)
     met = lookup(lines, shared, "key", "n_docs", F.xxhash64("id", "at"))
     gone = met.filter(F.col("id") != F.col("keep")).groupBy("id", "row").agg(F.collect_set("at").alias("gone"))
     joined = docs.select(
-        "doc_id", "text", F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), text_hash(F.col("text")).alias("row")
+        "doc_id", "text", "_carried", F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), text_hash(F.col("text")).alias("row")
     ).join(gone.hint("merge"), ["id", "row"], "left")
     split = F.split(F.coalesce("text", F.lit("")), "\n")
 
@@ -149,6 +151,7 @@ def drop_shared_lines(
         F.size(split).cast("long").alias("n_lines"),
         F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_dropped"),
         F.when(F.col("gone").isNull(), F.coalesce("text", F.lit(""))).otherwise(let(split, without)).alias("text"),
+        *(F.col("_carried")[c].alias(c) for c in carry),
     )
 
 

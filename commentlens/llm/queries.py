@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from . import decontaminate, licenses, line_dedup, ngram_join, packing, quality, sharding, token_index, url_filter
+from . import decontaminate, licenses, line_dedup, ngram_join, packing, pii, quality, sharding, token_index, url_filter
 
-QUERIES = {name: q for module in (ngram_join, packing, url_filter, sharding, token_index, quality, licenses, decontaminate, line_dedup) for name, q in module.QUERIES.items()}
+QUERIES = {name: q for module in (ngram_join, packing, url_filter, sharding, token_index, quality, pii, licenses, decontaminate, line_dedup) for name, q in module.QUERIES.items()}
