@@ -86,11 +86,11 @@ _LOOSE = (
 
 # Words near a span that speak for a kind, or for plain numbers.
 _HINTS = (
-    ("mail", "contact", "write to", "e-mail"),
+    ("mail", "contact", "write", "e-mail"),
     ("ip", "host", "server", "address"),
     ("card", "visa", "credit", "amex", "pay"),
-    ("call", "phone", "tel", "mobile", "fax", "ring"),
-    ("order", "isbn", "version", "invoice", "no.", "id", "item", "price", "page", "total", "=", "$", "#", "sha", "token", "date", "code"),
+    ("call", "phone", "tel", "mobile", "fax"),
+    ("order", "isbn", "version", "invoice", "no", "id", "item", "price", "page", "total", "=", "$", "#", "sha", "token", "date", "code"),
 )
 AROUND = 24
 
@@ -105,7 +105,7 @@ def features(text: str, span: Span) -> list[float]:
     """Numbers that describe a span's format and what stands around it."""
     kind, start, end = span
     inner, before, after = text[start:end], text[max(0, start - AROUND) : start], text[end : end + AROUND]
-    digits, near = _digits(inner), (before + " " + after).lower()
+    digits, near = _digits(inner), set(re.findall(r"[a-z-]+|[=$#]", (before + " " + after).lower()))
     groups = re.findall(r"[0-9]+", inner)
     sizes = list(map(len, groups)) or [0]
     return [
@@ -113,7 +113,7 @@ def features(text: str, span: Span) -> list[float]:
         float(len(inner)), float(len(digits)), float(sum(c.isalpha() for c in inner)), float(len(groups)), float(max(sizes)), float(min(sizes)),
         float(inner[:1] == "+"), float("(" in inner), float(inner.count(".")), float(inner.count("-")), float(inner.count(" ")), float(inner.count(":")),
         float("@" in inner), float(len(digits) >= 13 and luhn(digits)), float(len(set(digits))), float(before[-1:].isalnum() or before[-1:] in "\"'=_#$"),
-        float(after[:1].isalnum() or after[:1] in "\"'%_"), *(float(any(h in near for h in words)) for words in _HINTS),
+        float(after[:1].isalnum() or after[:1] in "\"'%_"), *(float(not near.isdisjoint(words)) for words in _HINTS),
         float(bool(re.fullmatch(r"(19|20)[0-9]{2}[ ./-]?[0-9]{2}[ ./-]?[0-9]{2,4}", inner))),
     ]
 

@@ -14,7 +14,7 @@ MIN_WORDS = 50
 SYMBOLS = "#*$%&|<>"
 # Measures per thousand, with the least spread that a fence allows for, where most documents of a
 # group have the same value.
-MEASURES = {"symbols": 30, "repeats": 60, "lines": 200, "capitals": 60}
+MEASURES = {"symbols": 30, "repeats": 100, "lines": 200, "capitals": 60}
 STEPS = 3
 # Sketch bins: exact below 32, then 16 bins for each doubling.
 EXACT_BITS = 5
