@@ -20,13 +20,15 @@ WORDS = 4
 PERCENT = 85
 # Shared shingles that go to the end of every set's order, and the texts that one count looks at
 # together. The list holds 8 bytes each and is broadcast.
-COMMON = 100_000
+COMMON = 300_000
 LOT = 4_000_000
 LOT_MIN = 4
 # Ids that a broadcast filter may hold; more go through a shuffle.
 MAX_IDS = 2_000_000
 # Sets that are compared with each other in one group; larger families are split at random.
 GROUP = 1_000
+# A set joins the family of a pivot that stands for this share of its prefix, in hundredths.
+VOTES = 20
 NO_ID = -(2**63)
 
 
@@ -131,16 +133,20 @@ def shared_entries(prefixes: DataFrame, percent: int) -> DataFrame:
     return materialize(several.join(company, ["token", "block"], "left_semi"), "list-blocks")
 
 
-def pivots(lists: DataFrame) -> DataFrame:
-    """``rep, pivot``: for each set the one that it most probably is most similar to.
+def pivots(lists: DataFrame, percent: int) -> DataFrame:
+    """``rep, pivot``: for each set the one that it most probably is most similar to, or itself.
 
     The first set of a block stands for it; the pivot is the one that stands for most of a set's
-    blocks. The choice steers the work and never the result.
+    blocks, if these are ``VOTES`` hundredths of its prefix or more. Sets that merely share a
+    passage stay by themselves. The choice steers the work and never the result.
     """
     first = lists.groupBy("token", "block").agg(F.min("rep").alias("hub"))
-    votes = lists.select("token", "block", "rep").join(first, ["token", "block"]).groupBy("rep", "hub").agg(F.count(F.lit(1)).alias("v"))
-    best = votes.groupBy("rep").agg(F.min(F.struct((-F.col("v")).alias("v"), F.col("hub"))).alias("b"))
-    return best.select("rep", F.col("b.hub").alias("pivot"))
+    votes = lists.select("token", "block", "rep", "n").join(first, ["token", "block"]).groupBy("rep", "n", "hub").agg(F.count(F.lit(1)).alias("v"))
+    prefix = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / F.lit(100)) + 1
+    best = votes.groupBy("rep").agg(
+        F.min(F.when(100 * F.col("v") >= VOTES * prefix, F.struct((-F.col("v")).alias("v"), F.col("hub")))).alias("b")
+    )
+    return best.select("rep", F.coalesce("b.hub", "rep").alias("pivot"))
 
 
 def stored_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
@@ -302,19 +308,19 @@ def jaccard_components(
     copies = lookup(rows.filter("n > 0").select("id", "key"), several, "key", "copies", F.col("id")).filter(F.col("id") != F.col("rep"))
     lone = _only(rows.filter("n > 0").select("id", "key", "n", "prefix"), materialize(copies.select("id", "key").distinct(), "copies"), "left_anti")
     lists = shared_entries(lone, percent)
-    chosen = pivots(lists)
+    chosen = pivots(lists, percent)
     sizes = chosen.groupBy("pivot").agg(F.count(F.lit(1)).alias("c"))
     parts = F.ceil(F.col("c") / F.lit(group)).cast("int")
     families = materialize(
         lookup(chosen, sizes.withColumn("size", F.col("c")), "pivot", "size", F.col("rep")).select("rep", "pivot", F.pmod(F.xxhash64("rep"), parts).cast("int").alias("part")),
         "families",
     )
-    sets = stored_sets(texts, families.select(F.col("rep").alias("id")).distinct(), words)
-    first = materialize(family_links(families, sets, percent), "family-links")
+    related = families.filter(F.col("rep") != F.col("pivot"))
+    first = materialize(family_links(related, stored_sets(texts, _ids(related, "rep", "pivot"), words), percent), "family-links")
     component = _components(first)
     known = families.join(component, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     pairs = materialize(open_pairs(lists, known, percent), "open-pairs")
-    second = materialize(checked(pairs, sets, percent), "checked-links")
+    second = materialize(checked(pairs, stored_sets(texts, _ids(pairs, "a", "b"), words), percent), "checked-links")
     final = _components(first.unionByName(second))
     named = classes.join(final, "rep", "left").select("key", "copies", F.coalesce("comp", "rep").alias("component"))
     joined = lookup(rows.select("id", "n", "key"), named, "key", "copies", F.col("id"), "left")
@@ -324,6 +330,10 @@ def jaccard_components(
     )
 
 
+def _ids(rows: DataFrame, *columns: str) -> DataFrame:
+    return rows.select(F.explode(F.array(*columns)).alias("id")).distinct()
+
+
 def _components(edges: DataFrame) -> DataFrame:
     return connected_components(edges).select(F.col("node").alias("rep"), F.col("component").alias("comp"))
 
