@@ -26,7 +26,7 @@ LOT_MIN = 4
 # Ids that a broadcast filter may hold; more go through a shuffle.
 MAX_IDS = 2_000_000
 # Sets that are compared with each other in one group; larger families are split at random.
-GROUP = 1_000
+GROUP = 2_000
 # A set joins the family of a pivot that stands for this share of its prefix, in hundredths.
 VOTES = 20
 NO_ID = -(2**63)
@@ -168,36 +168,36 @@ def derived_links(pivot: np.ndarray, sets: list[np.ndarray], percent: int) -> np
     With ``-x`` the pivot's shingles that ``x`` lacks and ``+x`` those of ``x`` outside the pivot,
     |x and y| = |pivot| - |-x| - |-y| + |-x and -y| + |+x and +y|.
     """
-    count, n = len(sets), np.array([len(s) for s in sets], np.float64)
-    both = np.full((count, count), float(len(pivot)))
+    count, n = len(sets), np.array([len(s) for s in sets], np.float32)  # exact below 2**24 shingles
+    both = np.full((count, count), len(pivot), np.float32)
     lacks, extra = [], []
     for s in sets:
         lacks.append(np.setdiff1d(pivot, s, assume_unique=True))
         extra.append(np.setdiff1d(s, pivot, assume_unique=True))
-    missing = np.array([len(x) for x in lacks], np.float64)
-    both -= missing[:, None] + missing[None, :]
+    missing = np.array([len(x) for x in lacks], np.float32)
+    both -= missing[:, None]
+    both -= missing[None, :]
     for parts in (lacks, extra):
-        both += _shared_counts(parts)
-    return 100 * both >= percent * (n[:, None] + n[None, :] - both)
+        _add_shared_counts(both, parts)
+    both *= 100 + percent
+    return both >= percent * (n[:, None] + n[None, :])
 
 
-def _shared_counts(parts: list[np.ndarray], width: int = 2_048) -> np.ndarray:
-    """How many numbers each two of ``parts`` share; a part counts with itself in full."""
+def _add_shared_counts(total: np.ndarray, parts: list[np.ndarray], width: int = 2_048) -> None:
+    """Adds how many numbers each two of ``parts`` share; the diagonal does not matter."""
     owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-    out = np.zeros((len(parts), len(parts)))
-    if len(owner):
-        _, column, times = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
-        shared = times > 1
-        place = np.cumsum(shared) - 1
-        keep = shared[column]
-        row, column = owner[keep], place[column[keep]]
-        for start in range(0, int(shared.sum()), width):
-            own = (column >= start) & (column < start + width)
-            block = np.zeros((len(parts), width), np.float32)
-            block[row[own], column[own] - start] = 1
-            out += block @ block.T
-    np.fill_diagonal(out, [len(p) for p in parts])
-    return out
+    if not len(owner):
+        return
+    _, column, times = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+    shared = times > 1
+    place = np.cumsum(shared) - 1
+    keep = shared[column]
+    row, column = owner[keep], place[column[keep]]
+    for start in range(0, int(shared.sum()), width):
+        own = (column >= start) & (column < start + width)
+        block = np.zeros((len(parts), width), np.float32)
+        block[row[own], column[own] - start] = 1
+        total += block @ block.T
 
 
 def forest(names: np.ndarray, links: np.ndarray) -> tuple[list[int], list[int]]:
@@ -237,10 +237,72 @@ def family_links(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return full.groupBy("pivot", "part").applyInArrow(links, "a long, b long")
 
 
+def strays(families: DataFrame, component: DataFrame) -> DataFrame:
+    """``rep, pivot, part``: large families once more, each part with all members that lie outside
+    the pivot's component. After that every two members are compared or in one component."""
+    large = families.groupBy("pivot").agg((F.max("part") + 1).alias("parts"), F.count(F.lit(1)).alias("size")).filter("parts > 1")
+    members = lookup(families, large, "pivot", "size", F.col("rep")).select("rep", "pivot", "part", "parts")
+    placed = members.join(component, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    main = component.select(F.col("rep").alias("pivot"), F.col("comp").alias("main"))
+    outside = placed.join(main, "pivot", "left").filter(~F.col("comp").eqNullSafe(F.col("main")))
+    everywhere = outside.select("rep", "pivot", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    parts = everywhere.select("pivot", "part").distinct()
+    own = members.join(parts, ["pivot", "part"]).select("rep", "pivot", "part")
+    return own.unionByName(everywhere).distinct()
+
+
+def bitmaps(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """``rep, size, bits``: for each set, which of 4 to 8 times as many places are hit an odd
+    number of times."""
+
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t.as_py(), words) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([parity_bits(s) for s in sets], pa.binary())],
+                names=["rep", "size", "bits"],
+            )
+
+    found = _only(docs.select("id", "text"), ids, "left_semi")
+    return materialize(found.mapInArrow(collect, "rep long, size long, bits binary"), "bitmaps")
+
+
+def parity_bits(own: np.ndarray) -> bytes:
+    places = 8 * (1 << max(len(own) - 1, 7).bit_length()) // 2
+    hits = np.bincount(own & (places - 1), minlength=places) & 1
+    return np.packbits(hits.astype(np.uint8)).tobytes()
+
+
+def most_overlap(n: int, x: bytes, m: int, y: bytes) -> int:
+    """No more shingles than this are shared: each place that differs is one that is not."""
+    a, b = (np.frombuffer(z, np.uint8) for z in (x, y))
+    if len(a) > len(b):
+        a, b = b, a
+    while len(b) > len(a):  # places are the low bits of a hash, so halves lie on each other
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return (n + m - int(np.bitwise_count(a ^ b).sum())) // 2
+
+
+def possible(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """The ``a, b`` that the bitmaps leave open."""
+    side = lambda c: maps.select(F.col("rep").alias(c), F.struct("size", "bits").alias(f"{c}_map")).hint("merge")
+    full = pairs.join(side("a"), "a").join(side("b"), "b")
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [
+                100 * (i := most_overlap(x["size"], x["bits"], y["size"], y["bits"])) >= percent * (x["size"] + y["size"] - i)
+                for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return full.select("a", "b", "a_map", "b_map").mapInArrow(look, "a long, b long").distinct()
+
+
 def open_pairs(lists: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """``a, b``: pairs that may link, are not compared yet and lie in different components.
 
-    ``known`` has ``rep, pivot, part, comp``. In each list the component with most entries is
+    ``known`` has ``rep, pivot, comp``; sets of one family have been compared. In each list the component with most entries is
     skipped as one side: a list within one component gives nothing. The other entries meet their
     own and the next blocks, under the bounds on sizes and on places in the prefix.
     """
@@ -250,13 +312,13 @@ def open_pairs(lists: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     mixed = main.filter("comps > 1").select("token", F.col("m.comp").alias("main"))
     there = materialize(entries.join(mixed, "token"), "mixed-lists")
     left = there.filter(F.col("comp") != F.col("main"))
-    names = ["rep", "n", "pos", "comp", "pivot", "part"]
+    names = ["rep", "n", "pos", "comp", "pivot"]
     x = left.select("token", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("block"), *(F.col(c).alias(f"x_{c}") for c in names))
     y = there.select("token", "block", *(F.col(c).alias(f"y_{c}") for c in names))
     n, m = F.col("x_n"), F.col("y_n")
     need = F.ceil(F.lit(percent) * (n + m) / F.lit(100 + percent))
     reach = 1 + F.least(n - F.col("x_pos") - 1, m - F.col("y_pos") - 1)
-    compared = ((F.col("x_pivot") == F.col("y_pivot")) & (F.col("x_part") == F.col("y_part"))) | (F.col("x_pivot") == F.col("y_rep")) | (F.col("y_pivot") == F.col("x_rep"))
+    compared = (F.col("x_pivot") == F.col("y_pivot")) | (F.col("x_pivot") == F.col("y_rep")) | (F.col("y_pivot") == F.col("x_rep"))
     met = x.join(y, ["token", "block"]).filter(
         (F.col("x_comp") != F.col("y_comp")) & (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (reach >= need) & ~compared
     )
@@ -316,10 +378,14 @@ def jaccard_components(
         "families",
     )
     related = families.filter(F.col("rep") != F.col("pivot"))
-    first = materialize(family_links(related, stored_sets(texts, _ids(related, "rep", "pivot"), words), percent), "family-links")
+    sets = stored_sets(texts, _ids(related, "rep", "pivot"), words)
+    first = materialize(family_links(related, sets, percent), "family-links")
+    again = materialize(strays(related, _components(first)), "strays")
+    first = materialize(first.unionByName(family_links(again, sets, percent)), "family-links")
     component = _components(first)
     known = families.join(component, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     pairs = materialize(open_pairs(lists, known, percent), "open-pairs")
+    pairs = materialize(possible(pairs, bitmaps(texts, _ids(pairs, "a", "b"), words), percent), "possible-pairs")
     second = materialize(checked(pairs, stored_sets(texts, _ids(pairs, "a", "b"), words), percent), "checked-links")
     final = _components(first.unionByName(second))
     named = classes.join(final, "rep", "left").select("key", "copies", F.coalesce("comp", "rep").alias("component"))
