@@ -88,7 +88,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
         part = F.lit(",," + ",,".join(ids) + ",,")
         hit = F.contains(state["left"], part)
         return F.struct(
-            F.when(hit, F.replace(state["left"], part, F.lit(",|,"))).otherwise(state["left"]).alias("left"),
+            F.when(hit, F.replace(state["left"], part, F.lit(",,|,,"))).otherwise(state["left"]).alias("left"),
             F.when(hit, F.array_union(state["found"], F.array(F.lit(licence)))).otherwise(state["found"]).alias("found"),
         )
 
@@ -116,7 +116,7 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sql() -> str:
     values = ", ".join(f"('{s}', '{i}')" for i, s in SENTENCES.items())
     steps = ",\n".join(
-        f"r{n + 1} as (select doc_id, n_sentences, sequence, replace(rest, ',,{',,'.join(ids)},,', ',|,') as rest,"
+        f"r{n + 1} as (select doc_id, n_sentences, sequence, replace(rest, ',,{',,'.join(ids)},,', ',,|,,') as rest,"
         f" case when contains(rest, ',,{',,'.join(ids)},,') and not list_contains(found, '{lic}') then list_append(found, '{lic}') else found end as found from r{n})"
         for n, (lic, ids) in enumerate(RULES)
     )
