@@ -91,14 +91,19 @@ def _stem_word(word: str) -> str:
     return w
 
 
-def fingerprint(text: Column) -> Column:
-    """Distinct a-z words of the text in sorted order, cut at 1000 characters.
+def word_list(text: Column) -> Column:
+    """Distinct a-z words of the text in sorted order.
 
     Apostrophes and hyphens join their word; every other non-letter separates words.
     """
     joined = F.translate(F.lower(F.coalesce(text, F.lit(""))), "'-", "")
     words = F.sort_array(F.array_distinct(F.array_remove(F.split(joined, "[^a-z]+"), "")))
-    return F.substring(F.array_join(words, " "), 1, 1000)
+    return F.array_join(words, " ")
+
+
+def fingerprint(text: Column) -> Column:
+    """The word list, cut at 1000 characters."""
+    return F.substring(word_list(text), 1, 1000)
 
 
 def word_count(text: Column) -> Column:

@@ -91,37 +91,3 @@ def annotate(
         leaves[leaf.name] = F.lit(None).cast(leaf.dataType)
     struct = F.struct(*(leaves[f.name].alias(f.name) for f in ANALYSIS.fields))
     return staged.withColumn("analysis", struct).drop("_lower", "_source", "_stance")
-
-
-# Annotators by name, so that a job can compute a single leaf. Each takes the filing's columns.
-ANNOTATORS: dict[str, object] = {}
-
-
-def annotator(name: str):
-    """Register a function ``DataFrame -> Column`` under ``name``."""
-
-    def add(fn):
-        ANNOTATORS[name] = fn
-        return fn
-
-    return add
-
-
-@annotator("fingerprint")
-def _fingerprint(df: DataFrame) -> Column:
-    return text.fingerprint(df["text_data"])
-
-
-@annotator("words")
-def _words(df: DataFrame) -> Column:
-    return text.word_count(df["text_data"])
-
-
-@annotator("capsemail")
-def _capsemail(df: DataFrame) -> Column:
-    return flags.caps_email(df["contact_email"])
-
-
-def with_annotators(df: DataFrame, *names: str) -> DataFrame:
-    """Add the named registered annotators as columns."""
-    return df.withColumns({name: ANNOTATORS[name](df) for name in names})

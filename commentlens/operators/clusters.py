@@ -72,19 +72,10 @@ def _leader_edges(index: Index, seed_reps: DataFrame, hubs: DataFrame) -> DataFr
     )
 
 
-# Seed counts up to which every seed searches at once; larger corpora seed in growing rounds.
-ONE_ROUND_SEEDS = 100_000
-
-
-def cluster_members(
-    index: Index, seeds: DataFrame, targets: DataFrame, one_round_seeds: int = ONE_ROUND_SEEDS
-) -> DataFrame:
+def cluster_members(index: Index, seeds: DataFrame, targets: DataFrame) -> DataFrame:
     """``doc_id, cluster``: connected groups of texts, named by their smallest target document.
 
-    A text that has become a member of a cluster no longer seeds one. Small corpora seed all at
-    once. Larger ones seed in rounds that grow eightfold, picked by hash, and texts that a round
-    has matched drop out of the later ones; a template with a million variants is then searched
-    from a few of them and not from each.
+    Every seed searches, at any size of the corpus. Runs jobs while it is built.
     """
     reps = index.members
     shapes = shape_of(index)
@@ -94,22 +85,7 @@ def cluster_members(
     open_seeds = cut_lineage(
         seeds.select("doc_id").join(reps, "doc_id").select("rep").distinct().join(query_of(index), "rep").join(shapes, "rep")
     )
-    total = open_seeds.select("query_id").distinct().count()
-    rounds = 0
-    while total > one_round_seeds * 8**rounds:
-        rounds += 1
-    edges = None
-    for step in range(rounds, -1, -1):
-        picked = open_seeds
-        if step:
-            picked = open_seeds.filter(F.pmod(F.xxhash64("query_id"), F.lit(8**step)) == 0)
-        found = cut_lineage(_leader_edges(index, picked.select("rep"), hubs))
-        edges = found if edges is None else edges.unionByName(found)
-        if step:
-            matched = found.select(F.col("a").alias("node")).distinct().join(hubs, "node").select("shape")
-            open_seeds = cut_lineage(
-                open_seeds.join(matched, "shape", "left_anti").join(picked.select("rep"), "rep", "left_anti")
-            )
+    edges = cut_lineage(_leader_edges(index, open_seeds.select("rep").distinct(), hubs))
     components = connected_components(edges)
     # A seed that matches only its own shape has an edge to itself and no component row.
     lone = edges.select(F.col("a").alias("node"), F.col("a").alias("component")).join(components, "node", "left_anti").distinct()

@@ -6,15 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+DATES = ("date_disseminated", "date_received")
+
+
 def latest_by_id(rows: DataFrame, key: str, order: str) -> DataFrame:
-    """One row per id: the latest, ties broken by content.
+    """One row per id: the latest by ``order``, then by the filing's own dates, then by content.
+
+    All rows of one run carry the same ``order``; the version that was published later wins.
 
     ``max_by`` keeps one row per id and map task before the shuffle, so an id that was sent very
     often does not collect its history in one task.
     """
     columns = rows.columns
     content = F.sha2(F.to_json(F.struct(*(c for c in columns if c != order))), 256)
-    packed = rows.select(key, F.struct(*columns).alias("row"), F.struct(F.col(order), content).alias("rank"))
+    packed = rows.select(key, F.struct(*columns).alias("row"), F.struct(order, *(c for c in DATES if c in columns), content.alias("content")).alias("rank"))
     best = packed.groupBy(key).agg(F.max_by("row", "rank").alias("row"))
     return best.select(*(F.col("row")[c].alias(c) for c in columns))
 
@@ -35,7 +40,8 @@ def merge_analysis(
 
     A leaf that ``patch`` has as a column is written, null included; a leaf it lacks keeps its old
     value. When rows differ in what they carry, ``present`` names a column of leaf names, and only
-    those are written for that row. Ids not in ``stored`` are ignored. ``patch`` has one row per id.
+    those are written for that row. Ids not in ``stored`` are ignored. Of patch rows with the same
+    id one is taken, by content, so that no stored row is ever doubled.
     """
     kind = stored.schema[struct].dataType
     leaves = [f.name for f in kind.fields if f.name in patch.columns]
@@ -43,7 +49,9 @@ def merge_analysis(
     if unknown:
         raise ValueError(f"not analysis leaves: {sorted(unknown)}")
     values = F.struct(*leaves, *([present] if present else [])).alias("_patch")
-    joined = stored.join(patch.select(key, values), key, "left")
+    content = F.sha2(F.to_json("_patch"), 256)
+    single = patch.select(key, values).groupBy(key).agg(F.max_by("_patch", content).alias("_patch"))
+    joined = stored.join(single, key, "left")
     has_patch = F.col("_patch").isNotNull()
     fields = []
     for f in kind.fields:

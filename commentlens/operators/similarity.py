@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import english_tokens, normalize_space, tokens, word_count
+from ..functions.text import english_tokens, fingerprint, normalize_space, tokens, word_count, word_list
 from ..rules.domain import NEIGHBOUR_STOP_WORDS
 from ..spark_env import materialize
 from .ranking import idf as bm25_idf
@@ -57,12 +57,19 @@ def text_key(text: Column) -> Column:
     return F.sha2(F.lower(normalize_space(text)), 256)
 
 
-def duplicate_groups(docs: DataFrame, fingerprint: Column, doc_id: str = "id_submission") -> DataFrame:
-    """Fingerprints held by more than one document, with the smallest id and the count."""
+def duplicate_groups(docs: DataFrame, text: Column, doc_id: str = "id_submission") -> DataFrame:
+    """``fingerprint, representative, copies`` of texts with the same words, from two documents on.
+
+    Groups compare whole word lists; the shown fingerprint is cut. Texts without a-z letters
+    compare as they are, so that texts in other scripts are not all alike.
+    """
+    words = word_list(text)
+    key = F.when(words == "", F.concat(F.lit("text "), text_key(F.coalesce(text, F.lit(""))))).otherwise(F.sha2(words, 256))
     return (
-        docs.groupBy(fingerprint.alias("fingerprint"))
-        .agg(F.min(doc_id).alias("representative"), F.count(F.lit(1)).alias("copies"))
+        docs.groupBy(key.alias("_key"))
+        .agg(F.first(fingerprint(text)).alias("fingerprint"), F.min(doc_id).alias("representative"), F.count(F.lit(1)).alias("copies"))
         .filter(F.col("copies") > 1)
+        .drop("_key")
     )
 
 

@@ -23,9 +23,10 @@ def ingest(spark: SparkSession, raw: DataFrame, table: str, **rules) -> None:
     store.upsert(spark, table, stamped)
 
 
-def run_day(spark: SparkSession, source: str, table: str, day: str | None = None, **rules) -> None:
-    """One day from the filing files into the table. A second run gives the same table."""
-    raw = filings.read_filings(spark, source)
+def run_day(spark: SparkSession, source: str, table: str, day: str | None = None, docket: str | None = None, **rules) -> None:
+    """One day, optionally of one docket, from the filing files into the table. A second run gives
+    the same table."""
+    raw = filings.read_filings(spark, source, docket)
     ingest(spark, raw.filter(predicates.on_day(F.col("date_disseminated"), day or default_day())), table, **rules)
 
 
@@ -37,6 +38,8 @@ def reannotate_patch(comments: DataFrame, day: str | None = None, limit: int | N
     """
     if day is not None:
         chosen = comments.filter(predicates.on_day(F.col("date_disseminated"), day))
+        if store.DAY in comments.columns:  # the stored table is partitioned by it
+            chosen = chosen.filter(F.col(store.DAY) == F.lit(day).cast(comments.schema[store.DAY].dataType))
     else:
         chosen = comments.filter(predicates.is_value(F.col("analysis.source"), "unknown"))
     if limit is not None:

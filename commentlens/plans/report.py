@@ -84,12 +84,11 @@ def breach_percentages(breach_counts: DataFrame) -> DataFrame:
     )
 
 
-def catalogue_counts(catalogue: DataFrame, counts: DataFrame, size: int = 25) -> DataFrame:
-    """Catalogue rows with the count of their own side's report; sources not listed there get 0."""
-    pos = position_by_source(counts, "positive", size).withColumn("stance", F.lit("positive"))
-    neg = position_by_source(counts, "negative", size).withColumn("stance", F.lit("negative"))
-    listed = pos.unionByName(neg)
-    return catalogue.join(F.broadcast(listed), ["source", "stance"], "left").select(
+def catalogue_counts(catalogue: DataFrame, counts: DataFrame) -> DataFrame:
+    """Catalogue rows with the count of their own side, whatever its rank; 0 where there is none."""
+    side = lambda name: counts.select("source", F.lit(name).alias("stance"), F.col(name).alias("n"))
+    listed = side("positive").unionByName(side("negative")).filter(F.col("source") != "unknown")
+    return catalogue.join(listed, ["source", "stance"], "left").select(
         *catalogue.columns, F.coalesce(F.col("n"), F.lit(0)).alias("n")
     )
 

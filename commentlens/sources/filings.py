@@ -49,9 +49,15 @@ def shape_filings(raw: DataFrame) -> DataFrame:
     ).select(*FILING.fieldNames())
 
 
-def read_filings(spark: SparkSession, path: str) -> DataFrame:
-    """JSON-lines filings. The explicit schema is the whitelist: other fields are never parsed."""
-    return shape_filings(spread(spark.read.schema(RAW).json(path), "id_submission"))
+def read_filings(spark: SparkSession, path: str, docket: str | None = None) -> DataFrame:
+    """JSON-lines filings. The explicit schema is the whitelist: other fields are never parsed.
+
+    ``docket`` keeps the filings of one proceeding; its name is gone once proceedings are shrunk.
+    """
+    raw = spark.read.schema(RAW).json(path)
+    if docket is not None:
+        raw = raw.filter(in_docket(F.col("proceedings"), docket))
+    return shape_filings(spread(raw, "id_submission"))
 
 
 def in_docket(proceedings: Column, name: str) -> Column:

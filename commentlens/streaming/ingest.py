@@ -30,9 +30,13 @@ def daily_volume(stream: DataFrame, when: str, by: list[Column], horizon: str, w
     )
 
 
-def upsert_stream(stream: DataFrame, table: str, checkpoint: str, **rules) -> StreamingQuery:
+def upsert_stream(
+    stream: DataFrame, table: str, checkpoint: str, trigger: dict | None = None, **rules
+) -> StreamingQuery:
     """Annotate each batch and upsert it. Late rows rewrite their own day and no other.
 
+    ``trigger`` goes to the stream writer; without one all available rows are taken and it ends.
+
     The upsert is idempotent, so a batch that is replayed after a failure leaves the same table.
     """
 
@@ -43,7 +47,7 @@ def upsert_stream(stream: DataFrame, table: str, checkpoint: str, **rules) -> St
     return (
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 

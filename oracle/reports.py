@@ -98,10 +98,10 @@ _CAT_SQL = "cat(source, icon, stance) AS (VALUES " + ", ".join(
     "catalogue_counts",
     f"WITH {v.FILINGS}, s0 AS (SELECT *, {DOCKET_SOURCE} AS source FROM filings), {_CAT_SQL}, "
     f"s AS (SELECT s0.source, coalesce(c.stance = 'positive', {DOCKET_STANCE}) AS stance FROM s0 LEFT JOIN cat c ON c.source = s0.source), "
-    "ranked AS (SELECT source, stance, count(*) AS n, row_number() OVER (PARTITION BY stance ORDER BY count(*) DESC, source) AS r FROM s "
+    "ranked AS (SELECT source, stance, count(*) AS n FROM s "
     "WHERE stance IS NOT NULL GROUP BY source, stance) "
     "SELECT cat.source, cat.icon, cat.stance, coalesce(ranked.n, 0) AS n FROM cat LEFT JOIN ranked ON ranked.source = cat.source "
-    "AND ranked.stance = (cat.stance = 'positive') AND ranked.r <= 25 AND ranked.source <> 'unknown'",
+    "AND ranked.stance = (cat.stance = 'positive') AND ranked.source <> 'unknown'",
 )
 def catalogue_counts(spark, sf):
     from commentlens.functions.predicates import Reviewed, Tags

@@ -32,10 +32,11 @@ METHOD_SQL = f"CASE WHEN starts_with(browser, 'OpenCSV') THEN 'csv' WHEN coalesc
 CAPS_SQL = "CASE WHEN contact_email <> '' THEN contact_email = upper(contact_email) END"
 ADDRESS_SQL = "(has_address AND coalesce(city, '') <> '' AND coalesce(state, '') <> '' AND coalesce(zip_code, '') <> '')"
 KEYS_SQL = "CASE WHEN proceedings IS NOT NULL THEN coalesce(array_to_string(flatten(list_transform(proceedings, lambda p: list_sort(map_keys(p)))), ' '), '') END"
-FINGERPRINT_SQL = (
-    "substr(array_to_string(list_sort(list_distinct(list_filter(string_split(regexp_replace(regexp_replace("
-    "lower(coalesce(text_data, '')), '[''-]+', '', 'g'), '[^a-z ]+', ' ', 'g'), ' '), lambda w: w <> ''))), ' '), 1, 1000)"
+WORD_LIST_SQL = (
+    "array_to_string(list_sort(list_distinct(list_filter(string_split(regexp_replace(regexp_replace("
+    "lower(coalesce(text_data, '')), '[''-]+', '', 'g'), '[^a-z ]+', ' ', 'g'), ' '), lambda w: w <> ''))), ' ')"
 )
+FINGERPRINT_SQL = f"substr({WORD_LIST_SQL}, 1, 1000)"
 
 
 @query("rule_source", f"WITH {v.CV} SELECT id_submission, {v.source_sql(v.RULES)} AS rule_source FROM cv")

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from commentlens.functions.predicates import Reviewed
-from commentlens.functions.text import fingerprint, untaggable
+from commentlens.functions.text import untaggable
 from commentlens.operators import clusters, similarity
 from commentlens.rules.domain import NEIGHBOUR_STOP_WORDS
 
 from . import views as v
-from .rows import FINGERPRINT_SQL
+from .rows import FINGERPRINT_SQL, WORD_LIST_SQL
 from .textual import TOK
 
 QUERIES: dict = {}
@@ -71,10 +71,11 @@ def components_sql(seeds: str = SEEDS_SQL, targets: str = TARGETS_SQL) -> str:
 
 @query(
     "dup_groups",
-    f"WITH {v.CV} SELECT {FINGERPRINT_SQL} AS fingerprint, min(doc_id) AS representative, count(*) AS copies FROM cv GROUP BY 1 HAVING count(*) > 1",
+    f"WITH {v.CV} SELECT any_value({FINGERPRINT_SQL}) AS fingerprint, min(doc_id) AS representative, count(*) AS copies FROM cv "
+    f"GROUP BY CASE WHEN {FINGERPRINT_SQL} = '' THEN 'text ' || lower(trim(regexp_replace(text_data, '\\s+', ' ', 'g'))) ELSE {WORD_LIST_SQL} END HAVING count(*) > 1",
 )
 def dup_groups(spark, sf):
-    return similarity.duplicate_groups(v.cv(spark, sf), fingerprint(F.col("text_data")), "doc_id")
+    return similarity.duplicate_groups(v.cv(spark, sf), F.col("text_data"), "doc_id")
 
 
 @query("mlt_terms", TERMS_SQL + " SELECT doc_id, term, rank FROM qt")

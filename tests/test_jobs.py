@@ -76,16 +76,34 @@ def test_rows_and_partitions_do_not_matter(spark, sample):
     assert sorted(first.collect()) == sorted(second.collect())
 
 
-def test_seeding_in_rounds(spark, sample):
-    """Later rounds only skip seeds that already belong somewhere, so no seed is left out."""
+def test_clusters_are_components_of_all_pairs(spark, sample):
     index, ids = _index(sample), sample.select("doc_id")
-    whole = {r.doc_id: r.cluster for r in clusters.cluster_members(index, ids, ids).collect()}
-    rounds = {r.doc_id: r.cluster for r in clusters.cluster_members(index, ids, ids, one_round_seeds=2).collect()}
-    seeds = {r.doc_id for r in index.members.join(similarity.query_of(index), "rep").collect()}
-    assert seeds <= set(whole) and seeds <= set(rounds)
-    # Rounds add fewer edges, so their clusters lie inside the clusters of all seeds.
-    for doc, cluster in rounds.items():
-        assert whole[doc] == whole[cluster]
+    got = {r.doc_id: r.cluster for r in clusters.cluster_members(index, ids, ids).collect()}
+    label = {d: d for d in got}
+    pairs = [(r.seed, r.doc_id) for r in similarity.similar_pairs(index, ids, ids).collect()]
+    changed = True
+    while changed:
+        changed = False
+        for a, b in pairs:
+            low = min(label[a], label[b])
+            changed |= label[a] != low or label[b] != low
+            label[a] = label[b] = low
+    for a, b in pairs:
+        assert got[a] == got[b]
+    assert len(set(got.values())) >= len({label[d] for p in pairs for d in p})
+
+
+def test_latest_version_inside_one_run(spark):
+    rows = [(2, "2017-05-01 09:00:00", "new"), (2, "2017-05-01 01:00:00", "old"), (3, None, "none"), (3, "2017-05-01 01:00:00", "dated")]
+    df = spark.createDataFrame(rows, "id_submission long, date_disseminated string, text_data string").withColumn("ingested_at", F.lit(1))
+    assert {r.id_submission: r.text_data for r in merge.latest_by_id(df, "id_submission", "ingested_at").collect()} == {2: "new", 3: "dated"}
+
+
+def test_patch_with_an_id_twice(spark):
+    stored = spark.createDataFrame([("a", (1, 2)), ("b", None)], "id_submission string, analysis struct<x:int,y:int>")
+    patch = spark.createDataFrame([("a", 5), ("a", 5), ("a", 7), ("c", 1)], "id_submission string, x int")
+    got = merge.merge_analysis(stored, patch).collect()
+    assert sorted(r.id_submission for r in got) == ["a", "b"] and {r.id_submission: r.analysis for r in got}["a"].y == 2
 
 
 def test_cluster_patch_marks_short_and_members(spark):
