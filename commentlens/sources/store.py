@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..operators.merge import merge_analysis, replace_rows
 from ..schema import COMMENT
-from ..spark_env import materialize
+from ..spark_env import discard, materialize
 
 KEY = "id_submission"
 DAY = "day"
@@ -72,6 +72,7 @@ def upsert(spark: SparkSession, path: str, incoming: DataFrame) -> None:
     fresh = materialize(with_day(incoming), "incoming")
     if not exists(spark, path):
         write_days(replace_rows(fresh.limit(0), fresh, KEY, ORDER), path)
+        discard(fresh)
         return
     stored = read_comments(spark, path, fresh.schema)
     old_places = stored.select(KEY, DAY).join(fresh.select(KEY).distinct(), KEY, "left_semi")
@@ -81,6 +82,7 @@ def upsert(spark: SparkSession, path: str, incoming: DataFrame) -> None:
     left = set(_days(merged))
     write_days(merged, path)
     _drop_days(spark, path, sorted(touched - left))
+    discard(fresh, merged)
 
 
 def update_analysis(spark: SparkSession, path: str, patch: DataFrame, present: str | None = None) -> None:
@@ -90,9 +92,11 @@ def update_analysis(spark: SparkSession, path: str, patch: DataFrame, present: s
     places = stored.select(KEY, DAY).join(small.select(KEY), KEY, "left_semi")
     days = _days(places)
     if not days:
+        discard(small)
         return
-    merged = merge_analysis(stored.filter(F.col(DAY).isin(days)), small, KEY, present=present)
-    write_days(materialize(merged, "merged"), path)
+    merged = materialize(merge_analysis(stored.filter(F.col(DAY).isin(days)), small, KEY, present=present), "merged")
+    write_days(merged, path)
+    discard(small, merged)
 
 
 def backlog(comments: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Skewed joins, clustering, upserts and files."""
 
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from commentlens.operators import clusters, merge, sampling, similarity
 from commentlens.operators.skew import lookup
 from commentlens.plans import daily
 from commentlens.sources import filings, store
+from commentlens.spark_env import shared_dir
 
 DOCS = "/root/testdata/sf0.001/documents.parquet"
 
@@ -167,3 +169,13 @@ def test_store_moves_rows_between_days_and_is_idempotent(spark, tmp_path):
         assert show() == [("1", "uno", "2017-05-03"), ("2", "due", "2017-05-02"), ("3", "three", "2017-05-02"), ("4", "quattro", "1970-01-01")]
     daily.reannotate(spark, table)
     assert len(show()) == 4
+
+
+def test_jobs_leave_no_intermediate_tables(spark, tmp_path):
+    left = lambda: {p.name for p in Path(shared_dir(spark).removeprefix("file:")).glob("*") if p.name.startswith(("incoming-", "merged-", "patch-"))}
+    before, table = left(), str(tmp_path / "table")
+    rows = spark.createDataFrame([("1", "one"), ("2", "two")], "id_submission string, text_data string").withColumn("date_disseminated", F.to_timestamp(F.lit("2017-05-01")))
+    for _ in range(2):
+        daily.ingest(spark, rows, table)
+    daily.reannotate(spark, table)
+    assert left() == before and spark.read.parquet(table).count() == 2
