@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.clusters import connected_components
 from ..operators.skew import lookup
-from ..spark_env import materialize
+from ..spark_env import discard, materialize
 from .common import inputs, ship, table
 from .shingles import shingle_set
 from .token_index import mix
@@ -27,6 +27,8 @@ LOT_MIN = 4
 MAX_IDS = 2_000_000
 # Sets that are compared with each other in one group; larger families are split at random.
 GROUP = 2_000
+# Shingles of one such group: 8 bytes each in the task that compares it.
+MASS = 16_000_000
 # A set joins the family of a pivot that stands for this share of its prefix, in hundredths.
 VOTES = 20
 NO_ID = -(2**63)
@@ -130,11 +132,13 @@ def shared_entries(prefixes: DataFrame, percent: int) -> DataFrame:
     sizes = several.groupBy("token", "block").agg(F.count(F.lit(1)).alias("c"))
     near = sizes.select("token", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("block"), "c")
     company = near.groupBy("token", "block").agg(F.sum("c").alias("c")).filter("c > 1").select("token", "block")
-    return materialize(several.join(company, ["token", "block"], "left_semi"), "list-blocks")
+    lists = materialize(several.join(company, ["token", "block"], "left_semi"), "list-blocks")
+    discard(several)
+    return lists
 
 
 def pivots(lists: DataFrame, percent: int) -> DataFrame:
-    """``rep, pivot``: for each set the one that it most probably is most similar to, or itself.
+    """``rep, n, pivot``: for each set the one that it most probably is most similar to, or itself.
 
     The first set of a block stands for it; the pivot is the one that stands for most of a set's
     blocks, if these are ``VOTES`` hundredths of its prefix or more. Sets that merely share a
@@ -143,23 +147,36 @@ def pivots(lists: DataFrame, percent: int) -> DataFrame:
     first = lists.groupBy("token", "block").agg(F.min("rep").alias("hub"))
     votes = lists.select("token", "block", "rep", "n").join(first, ["token", "block"]).groupBy("rep", "n", "hub").agg(F.count(F.lit(1)).alias("v"))
     prefix = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / F.lit(100)) + 1
-    best = votes.groupBy("rep").agg(
+    best = votes.groupBy("rep", "n").agg(
         F.min(F.when(100 * F.col("v") >= VOTES * prefix, F.struct((-F.col("v")).alias("v"), F.col("hub")))).alias("b")
     )
-    return best.select("rep", F.coalesce("b.hub", "rep").alias("pivot"))
+    return best.select("rep", "n", F.coalesce("b.hub", "rep").alias("pivot"))
 
 
-def stored_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """``rep, tokens``: the sorted shingles of the named texts as 8-byte numbers."""
+def with_sets(places: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """``places`` (``rep`` and more) with ``tokens``, the sorted shingles of the text as 8-byte numbers.
+
+    Places go to the texts: broadcast when they are few, so that neither texts nor sets are
+    shuffled here, and by a shuffle join beyond. Rows that repeat an id with another text are
+    sets of their own under one name.
+    """
+    more = [f for f in places.schema.fields if f.name != "rep"]
+    few = places.count() <= MAX_IDS
+    texts = docs.select(F.col("id").alias("rep"), "text")
+    met = texts.join(F.broadcast(places) if few else places.hint("merge"), "rep").select("rep", "text", *(f.name for f in more))
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, own = "", b""  # the places of one text follow each other
         for batch in batches:
-            sets = [shingle_set(t.as_py(), words).astype("<i8").tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(sets, pa.binary())], names=["rep", "tokens"])
+            sets = []
+            for text in batch.column(1):
+                if (new := text.as_py()) != last:
+                    last, own = new, shingle_set(new, words).astype("<i8").tobytes()
+                sets.append(own)
+            rest = [batch.column(i) for i in range(2, batch.num_columns)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *rest, pa.array(sets, pa.binary())], names=["rep", *(f.name for f in more), "tokens"])
 
-    found = _only(docs.select("id", "text"), ids, "left_semi")
-    # Rows that repeat an id with another text would be sets of their own under one name.
-    return materialize(found.mapInArrow(collect, "rep long, tokens binary"), "sets")
+    return met.mapInArrow(collect, ", ".join(["rep long", *(f"{f.name} {f.dataType.simpleString()}" for f in more), "tokens binary"]))
 
 
 def derived_links(pivot: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -218,14 +235,14 @@ def forest(names: np.ndarray, links: np.ndarray) -> tuple[list[int], list[int]]:
     return a, b
 
 
-def family_links(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def family_links(groups: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """``a, b``: links within each ``pivot, part`` of ``groups`` (``rep, pivot, part``), as forests.
 
     The pivot is a member of every part, so the parts of a large family meet in it.
     """
     heads = groups.select("pivot", "part").distinct().select("pivot", "part", F.col("pivot").alias("rep"))
     rows = groups.filter(F.col("rep") != F.col("pivot")).select("pivot", "part", "rep").unionByName(heads)
-    full = rows.join(sets.hint("merge"), "rep").select("pivot", "part", "rep", "tokens")
+    full = with_sets(rows, docs, words)
 
     def links(key: tuple, rows: pa.Table) -> pa.Table:
         names = rows.column("rep").to_numpy()
@@ -325,14 +342,14 @@ def open_pairs(lists: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     return met.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b")).distinct()
 
 
-def checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def checked(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The ``a, b`` that link, by whole sets; ``a``'s set meets at most ``GROUP`` others at once."""
     count = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("c"))
     parts = F.ceil(F.col("c") / F.lit(GROUP)).cast("int")
     dealt = pairs.join(count, "a").select("a", F.pmod(F.xxhash64("b"), parts).cast("int").alias("part"), "b")
     heads = dealt.select("a", "part").distinct().select("a", "part", F.col("a").alias("rep"), F.lit(True).alias("head"))
     rows = dealt.select("a", "part", F.col("b").alias("rep"), F.lit(False).alias("head")).unionByName(heads)
-    full = rows.join(sets.hint("merge"), "rep")
+    full = with_sets(rows, docs, words)
 
     def links(key: tuple, rows: pa.Table) -> pa.Table:
         heads = np.array(rows.column("head").to_pylist(), bool)
@@ -346,7 +363,7 @@ def checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     found.append(int(names[i]))
         return pa.table({"a": pa.array([key[0].as_py()] * len(found), pa.int64()), "b": pa.array(found, pa.int64())})
 
-    return full.select("a", "part", "rep", "head", "tokens").groupBy("a", "part").applyInArrow(links, "a long, b long").distinct()
+    return full.groupBy("a", "part").applyInArrow(links, "a long, b long").distinct()
 
 
 def jaccard_components(
@@ -370,23 +387,28 @@ def jaccard_components(
     copies = lookup(rows.filter("n > 0").select("id", "key"), several, "key", "copies", F.col("id")).filter(F.col("id") != F.col("rep"))
     lone = _only(rows.filter("n > 0").select("id", "key", "n", "prefix"), materialize(copies.select("id", "key").distinct(), "copies"), "left_anti")
     lists = shared_entries(lone, percent)
+    # From here on the prefixes are in the lists.
+    wide, rows = rows, materialize(rows.select("id", "n", "key"), "set-sizes")
+    discard(wide)
     chosen = pivots(lists, percent)
-    sizes = chosen.groupBy("pivot").agg(F.count(F.lit(1)).alias("c"))
-    parts = F.ceil(F.col("c") / F.lit(group)).cast("int")
+    sizes = chosen.groupBy("pivot").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("mass"))
+    parts = F.greatest(F.ceil(F.col("c") / F.lit(group)), F.ceil(F.col("mass") / F.lit(MASS))).cast("int")
     families = materialize(
         lookup(chosen, sizes.withColumn("size", F.col("c")), "pivot", "size", F.col("rep")).select("rep", "pivot", F.pmod(F.xxhash64("rep"), parts).cast("int").alias("part")),
         "families",
     )
     related = families.filter(F.col("rep") != F.col("pivot"))
-    sets = stored_sets(texts, _ids(related, "rep", "pivot"), words)
-    first = materialize(family_links(related, sets, percent), "family-links")
+    first = materialize(family_links(related, texts, words, percent), "family-links")
     again = materialize(strays(related, _components(first)), "strays")
-    first = materialize(first.unionByName(family_links(again, sets, percent)), "family-links")
+    first = materialize(first.unionByName(family_links(again, texts, words, percent)), "family-links")
     component = _components(first)
     known = families.join(component, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     pairs = materialize(open_pairs(lists, known, percent), "open-pairs")
-    pairs = materialize(possible(pairs, bitmaps(texts, _ids(pairs, "a", "b"), words), percent), "possible-pairs")
-    second = materialize(checked(pairs, stored_sets(texts, _ids(pairs, "a", "b"), words), percent), "checked-links")
+    discard(lists)
+    maps = bitmaps(texts, _ids(pairs, "a", "b"), words)
+    pairs = materialize(possible(pairs, maps, percent), "possible-pairs")
+    discard(maps)
+    second = materialize(checked(pairs, texts, words, percent), "checked-links")
     final = _components(first.unionByName(second))
     named = classes.join(final, "rep", "left").select("key", "copies", F.coalesce("comp", "rep").alias("component"))
     joined = lookup(rows.select("id", "n", "key"), named, "key", "copies", F.col("id"), "left")
