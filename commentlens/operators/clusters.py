@@ -98,9 +98,25 @@ def cluster_sizes(members: DataFrame) -> DataFrame:
     return members.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
 
 
-def star_members(pairs: DataFrame) -> DataFrame:
-    """Each document joins the smallest seed that matches it, without chaining."""
-    return pairs.groupBy("doc_id").agg(F.min("seed").alias("cluster"))
+def star_members(index: Index, seeds: DataFrame, targets: DataFrame) -> DataFrame:
+    """``doc_id, cluster``: each target joins the smallest other seed that matches it, without chaining.
+
+    No pair of documents is made: a query passes on its two smallest seeds, a shape keeps the two
+    smallest that reach it, and the second serves the document that is the first itself.
+    """
+    seed_rows = seeds.select("doc_id").join(index.members, "doc_id").join(query_of(index), "rep")
+    two = lambda rows, by: rows.withColumn(
+        "_r", F.dense_rank().over(Window.partitionBy(by).orderBy("seed"))
+    ).filter("_r <= 2").drop("_r").distinct()
+    heads = two(seed_rows.select("query_id", F.col("doc_id").alias("seed")), "query_id")
+    matches = signature_matches(index, seed_rows.select("rep"))
+    reached = two(matches.join(heads.hint("merge"), "query_id").select("shape", "seed"), "shape")
+    best = reached.groupBy("shape").agg(F.min("seed").alias("first"), F.max("seed").alias("second"))
+    target_rows = targets.select("doc_id").join(index.members, "doc_id").join(shape_of(index), "rep").select("doc_id", "shape")
+    sizes = target_rows.groupBy("shape").agg(F.count(F.lit(1)).alias("docs"))
+    joined = lookup(target_rows, best.join(sizes, "shape"), "shape", "docs", F.col("doc_id"))
+    cluster = F.when(F.col("first") != F.col("doc_id"), F.col("first")).otherwise(F.nullif("second", "first"))
+    return joined.select("doc_id", cluster.alias("cluster")).filter(F.col("cluster").isNotNull())
 
 
 def join_existing(

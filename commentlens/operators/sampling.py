@@ -9,8 +9,16 @@ from ..functions.predicates import has_email
 from .similarity import sample_order
 
 
-# Up to this many rows per group Spark's window plan cuts groups before the shuffle by default.
-MAP_SIDE_LIMIT = 1000
+# A group is cut to its first rows in this many lots before they meet in one task.
+LOTS = 256
+
+
+def _first_rows(rows: DataFrame, n: int, by: str, order: list[str], spread: str) -> DataFrame:
+    """The ``n`` first rows of each ``by``, numbered in ``_r``; one task sees ``n * LOTS`` of a group at most."""
+    lot = Window.partitionBy(by, F.pmod(F.xxhash64(spread), F.lit(LOTS))).orderBy(*order)
+    cut = rows.withColumn("_r", F.row_number().over(lot)).filter(F.col("_r") <= n)
+    whole = Window.partitionBy(by).orderBy(*order)
+    return cut.withColumn("_r", F.row_number().over(whole)).filter(F.col("_r") <= n)
 
 
 def random_sample(
@@ -22,18 +30,12 @@ def random_sample(
 ) -> DataFrame:
     """``n`` random rows of each ``by`` group (or of all rows), the same for the same ``seed``.
 
-    Spark limits each group per map task before the shuffle, so a large group does not travel. It
-    does so for samples of up to 1000 rows; for larger ones each group is first cut to ``n`` rows
-    in every one of 256 lots, which keeps the sample the same.
+    Each group is first cut to ``n`` rows in every one of ``LOTS`` lots, which keeps the sample the same.
     """
     ordered = comments.withColumn("_order", sample_order(F.col(doc_id), seed))
     if by is None:
         return ordered.orderBy("_order", doc_id).limit(n).drop("_order")
-    if n > MAP_SIDE_LIMIT:
-        lot = Window.partitionBy(by, F.pmod(F.xxhash64(doc_id), F.lit(256))).orderBy("_order", doc_id)
-        ordered = ordered.withColumn("_r", F.row_number().over(lot)).filter(F.col("_r") <= n)
-    window = Window.partitionBy(by).orderBy("_order", doc_id)
-    return ordered.withColumn("_r", F.row_number().over(window)).filter(F.col("_r") <= n).drop("_r", "_order")
+    return _first_rows(ordered, n, by, ["_order", doc_id], doc_id).drop("_r", "_order")
 
 
 def breach_candidates(
@@ -73,12 +75,8 @@ def contact_sample(
         .groupBy(by, email)
         .agg(F.min("_pick").alias("_pick"))
     )
-    window = Window.partitionBy(by).orderBy("_pick")
-    return (
-        first.withColumn("pick", F.row_number().over(window))
-        .filter(F.col("pick") <= n)
-        .select(by, email, F.col("_pick.id").alias(doc_id), "pick")
-    )
+    picked = _first_rows(first, n, by, ["_pick"], email)
+    return picked.select(by, email, F.col("_pick.id").alias(doc_id), F.col("_r").alias("pick"))
 
 
 def contact_rows(comments: DataFrame, sample: DataFrame, url_prefix: str, doc_id: str = "id_submission") -> DataFrame:

@@ -34,7 +34,7 @@ def reannotate_patch(comments: DataFrame, day: str | None = None, limit: int | N
     """New row-derived leaves for one day, or for all rows whose source is unknown.
 
     ``titleii`` and ``untaggable`` are listed as present only when the new annotation sets them, so
-    an earlier value stays otherwise. ``limit`` is for trial runs.
+    an earlier value stays otherwise. ``limit`` is for trial runs and takes the smallest ids.
     """
     if day is not None:
         chosen = comments.filter(predicates.on_day(F.col("date_disseminated"), day))
@@ -43,7 +43,7 @@ def reannotate_patch(comments: DataFrame, day: str | None = None, limit: int | N
     else:
         chosen = comments.filter(predicates.is_value(F.col("analysis.source"), "unknown"))
     if limit is not None:
-        chosen = chosen.limit(limit)
+        chosen = chosen.orderBy(store.KEY).limit(limit)
     fresh = annotate(chosen.drop("analysis"), **rules)
     names = [f.name for f in ROW_LEAVES]
     sparse = {"titleii": F.col("analysis.titleii").isNotNull(), "untaggable": F.col("analysis.untaggable")}

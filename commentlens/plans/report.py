@@ -95,8 +95,7 @@ def catalogue_counts(catalogue: DataFrame, counts: DataFrame) -> DataFrame:
 
 def exemplars(comments: DataFrame, source: Column, doc_id: str = "id_submission", text: str = "text_data") -> DataFrame:
     """Sample text per source: the comment with the smallest id."""
-    first = comments.groupBy(source.alias("source")).agg(F.min(doc_id).alias("_id"))
-    return comments.select(F.col(doc_id).alias("_id"), F.col(text).alias("sample")).join(first, "_id").select("source", "sample")
+    return comments.groupBy(source.alias("source")).agg(F.min_by(text, doc_id).alias("sample"))
 
 
 def _as_map(df: DataFrame, value: Column, name: str) -> DataFrame:

@@ -53,11 +53,12 @@ def read_filings(spark: SparkSession, path: str, docket: str | None = None) -> D
     """JSON-lines filings. The explicit schema is the whitelist: other fields are never parsed.
 
     ``docket`` keeps the filings of one proceeding; its name is gone once proceedings are shrunk.
+    Files are split by Spark's own reader settings (``spark.sql.files.*``).
     """
     raw = spark.read.schema(RAW).json(path)
     if docket is not None:
         raw = raw.filter(in_docket(F.col("proceedings"), docket))
-    return shape_filings(spread(raw, "id_submission"))
+    return shape_filings(raw)
 
 
 def in_docket(proceedings: Column, name: str) -> Column:

@@ -124,7 +124,7 @@ def cluster_sizes(spark, sf):
 
 @query("star_clusters", pairs_sql() + " SELECT doc_id, min(seed) AS cluster FROM pairs GROUP BY doc_id")
 def star_clusters(spark, sf):
-    return clusters.star_members(mlt_pairs(spark, sf))
+    return clusters.star_members(_index(spark, sf), _seeds(spark, sf), _targets(spark, sf))
 
 
 _EXISTING_SQL = "existing AS (SELECT doc_id, cluster AS src_doc_id FROM tagged WHERE cluster IS NOT NULL)"

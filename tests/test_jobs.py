@@ -133,7 +133,7 @@ def test_merge_keeps_absent_and_clears_null(spark):
 def test_large_samples_are_the_same(spark, monkeypatch):
     rows = spark.range(500).select(F.col("id"), (F.col("id") % 3).alias("g"))
     usual = sorted(sampling.random_sample(rows, 40, "s", "g", "id").collect())
-    monkeypatch.setattr(sampling, "MAP_SIDE_LIMIT", 1)
+    monkeypatch.setattr(sampling, "LOTS", 1)
     assert sorted(sampling.random_sample(rows, 40, "s", "g", "id").collect()) == usual and len(usual) == 120
 
 
