@@ -254,18 +254,30 @@ def family_links(groups: DataFrame, docs: DataFrame, words: int, percent: int) -
     return full.groupBy("pivot", "part").applyInArrow(links, "a long, b long")
 
 
-def strays(families: DataFrame, component: DataFrame) -> DataFrame:
-    """``rep, pivot, part``: large families once more, each part with all members that lie outside
-    the pivot's component. After that every two members are compared or in one component."""
+def strays(families: DataFrame, component: DataFrame, group: int = GROUP) -> DataFrame:
+    """``rep, pivot, part``: large families (``rep, n, pivot, part``) once more, each part with all
+    members that lie outside the pivot's component. After that every two members are compared or in
+    one component.
+
+    These members are dealt to chunks under the bounds of a part, and each part meets each chunk in
+    a group of its own, so a group is at most about twice a part, however many members stray.
+    """
     large = families.groupBy("pivot").agg((F.max("part") + 1).alias("parts"), F.count(F.lit(1)).alias("size")).filter("parts > 1")
-    members = lookup(families, large, "pivot", "size", F.col("rep")).select("rep", "pivot", "part", "parts")
+    members = lookup(families, large, "pivot", "size", F.col("rep")).select("rep", "n", "pivot", "part", "parts")
     placed = members.join(component, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     main = component.select(F.col("rep").alias("pivot"), F.col("comp").alias("main"))
     outside = placed.join(main, "pivot", "left").filter(~F.col("comp").eqNullSafe(F.col("main")))
-    everywhere = outside.select("rep", "pivot", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    parts = everywhere.select("pivot", "part").distinct()
-    own = members.join(parts, ["pivot", "part"]).select("rep", "pivot", "part")
-    return own.unionByName(everywhere).distinct()
+    enough = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(group)), F.ceil(F.sum("n") / F.lit(MASS))).cast("int")
+    chunks = outside.groupBy("pivot").agg(enough.alias("chunks"), F.count(F.lit(1)).alias("strays"))
+    # Dealt by another hash than the parts are.
+    chunk = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("chunks")).cast("int")
+    place = lambda part, chunk: (chunk.cast("long") * F.col("parts") + part).alias("part")
+    dealt = lookup(outside, chunks, "pivot", "strays", F.col("rep"))
+    everywhere = dealt.select("rep", "pivot", "parts", chunk.alias("chunk"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("at"))
+    everywhere = everywhere.select("rep", "pivot", place(F.col("at"), F.col("chunk")))
+    met = lookup(members, chunks, "pivot", "strays", F.col("rep"))
+    own = met.select("rep", "pivot", "part", "parts", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+    return own.select("rep", "pivot", place(F.col("part"), F.col("chunk"))).unionByName(everywhere).distinct()
 
 
 def bitmaps(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
@@ -394,15 +406,15 @@ def jaccard_components(
     sizes = chosen.groupBy("pivot").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("mass"))
     parts = F.greatest(F.ceil(F.col("c") / F.lit(group)), F.ceil(F.col("mass") / F.lit(MASS))).cast("int")
     families = materialize(
-        lookup(chosen, sizes.withColumn("size", F.col("c")), "pivot", "size", F.col("rep")).select("rep", "pivot", F.pmod(F.xxhash64("rep"), parts).cast("int").alias("part")),
+        lookup(chosen, sizes.withColumn("size", F.col("c")), "pivot", "size", F.col("rep")).select("rep", "n", "pivot", F.pmod(F.xxhash64("rep"), parts).cast("int").alias("part")),
         "families",
     )
     related = families.filter(F.col("rep") != F.col("pivot"))
     first = materialize(family_links(related, texts, words, percent), "family-links")
-    again = materialize(strays(related, _components(first)), "strays")
+    again = materialize(strays(related, _components(first), group), "strays")
     first = materialize(first.unionByName(family_links(again, texts, words, percent)), "family-links")
     component = _components(first)
-    known = families.join(component, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    known = families.drop("n").join(component, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     pairs = materialize(open_pairs(lists, known, percent), "open-pairs")
     discard(lists)
     maps = bitmaps(texts, _ids(pairs, "a", "b"), words)

@@ -74,6 +74,34 @@ def test_jaccard(spark, docs, no_docs, group):
     assert ngram_join.jaccard_components(no_docs).count() == 0
 
 
+def test_jaccard_strays(spark):
+    """A family of 12 parts in which nothing links: groups stay bounded and every two members meet."""
+    group, count, none = 20, 240, spark.createDataFrame([], "rep long, comp long")
+    family = spark.range(1, count + 1).select(F.col("id").alias("rep"), F.lit(50).cast("long").alias("n"), F.lit(0).cast("long").alias("pivot"), (F.col("id") % 12).cast("int").alias("part"))
+    groups = defaultdict(set)
+    for r in ngram_join.strays(family, none, group).collect():
+        groups[r.pivot, r.part].add(r.rep)
+    assert max(map(len, groups.values())) <= 4 * group
+    assert len({(a, b) for g in groups.values() for a in g for b in g}) == count * count
+    joined = spark.range(1, 21).select(F.col("id").alias("rep"), F.lit(0).cast("long").alias("comp")).union(spark.createDataFrame([(0, 0)], "rep long, comp long"))
+    groups = defaultdict(set)
+    for r in ngram_join.strays(family, joined, group).collect():
+        groups[r.pivot, r.part].add(r.rep)
+    met = {(a, b) for g in groups.values() for a in g for b in g}
+    assert all((a, b) in met for a in range(21, count + 1) for b in range(1, count + 1))
+    # Texts over one long template: few links, and the same result in parts as in one piece.
+    texts = [(i, " ".join([f"t{j}" for j in range(60)] + [f"u{i // 10 * 10 if i % 10 < 2 else i}x{j}" for j in range(9)] + [f"e{i}"])) for i in range(80)]
+    table = spark.createDataFrame(texts, "doc_id long, text string")
+    shingles = {i: {tuple(t.split()[k : k + 4]) for k in range(len(t.split()) - 3)} for i, t in texts}
+    pairs = {(a, b) for a in shingles for b in shingles if a < b and 100 * len(shingles[a] & shingles[b]) >= 85 * len(shingles[a] | shingles[b])}
+    name = {i: i for i in shingles}
+    for a, b in sorted(pairs):
+        name[b] = min(name[b], name[a])
+    assert pairs == {(i, i + 1) for i in range(0, 80, 10)}
+    got = ngram_join.jaccard_components(table, group=10).collect()
+    assert {r.doc_id: r.component_id for r in got} == name
+
+
 def test_jaccard_family(spark):
     base = [f"t{i}" for i in range(60)]
     rows = []
