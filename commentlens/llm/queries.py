@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, licenses, line_dedup, ngram_join, packing, pii, quality, sharding, token_index, url_filter
+from . import (
+    centroids, decontaminate, licenses, line_dedup, ngram_join, packing, pii, quality, resampling, sharding, token_index, url_filter, vector_dedup,
+)
 
-QUERIES = {name: q for module in (ngram_join, packing, url_filter, sharding, token_index, quality, pii, licenses, decontaminate, line_dedup) for name, q in module.QUERIES.items()}
+_MODULES = (
+    ngram_join, packing, url_filter, sharding, token_index, quality, pii, licenses, decontaminate, line_dedup, resampling, vector_dedup, centroids,
+)
+
+QUERIES = {name: q for module in _MODULES for name, q in module.QUERIES.items()}
