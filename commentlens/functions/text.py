@@ -63,6 +63,11 @@ def english_tokens(words: Column) -> Column:
     return stem_words(without_stop_words(words))
 
 
+def english_words(words: Column) -> Column:
+    """Stop words dropped, possessive endings removed, not stemmed."""
+    return F.transform(without_stop_words(words), _bare)
+
+
 def surface_forms(stem: str) -> list[str]:
     """All words that ``english_tokens`` turns into ``stem``."""
     bases = [stem, stem + "s"] + ([stem[:-1] + "ies"] if stem.endswith("y") else [])

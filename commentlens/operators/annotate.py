@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import flags, text
 from ..functions.rules import source_label, text_stance
 from ..rules import domain
 from ..rules.model import Rule
-from ..schema import ANALYSIS, LATER_LEAVES
+from .annotators import Row, leaves
 
 
 def stance_labels(derive: str = "catalogue") -> dict[str, bool]:
@@ -45,7 +44,8 @@ def annotate(
     support_needs: list[str] | None = None,
     oppose_needs: list[str] | None = None,
 ) -> DataFrame:
-    """Add the ``analysis`` struct. Leaves that other jobs own start as null.
+    """Add the ``analysis`` struct: one leaf per registered annotator. Leaves that other jobs own
+    start as null.
 
     ``support_needs`` and ``oppose_needs`` are literals of which every match of the patterns holds
     one; they default to those of the docket's own patterns and to none for others.
@@ -56,12 +56,6 @@ def annotate(
         oppose_needs = domain.OPPOSE_NEEDS if oppose is domain.OPPOSE_PATTERNS else []
     labels = stance_labels() if labels is None else labels
     body = F.col("text_data")
-    has = set(filings.columns)
-
-    def column(name: str, kind: str) -> Column:
-        return F.col(name) if name in has else F.lit(None).cast(kind)
-
-    proceedings = column("proceedings", "array<map<string,string>>")
     # The optimizer keeps this as its own projection because the rules use it many times, so the
     # text is lower-cased and the source is found once per row.
     lowered = F.col("_lower")
@@ -72,22 +66,5 @@ def annotate(
         }
     )
     source = F.col("_source")
-    address = (
-        flags.full_address(F.col("addressentity")) if "addressentity" in has else F.lit(False)
-    )
-    leaves = {
-        "fulladdress": address,
-        "capsemail": flags.caps_email(column("contact_email", "string")),
-        "source": source,
-        "proceedings_keys": flags.proceeding_keys(proceedings),
-        "onsite": flags.onsite(proceedings),
-        "ingestion_method": flags.ingestion_method(column("browser", "string"), proceedings),
-        "fingerprint": text.fingerprint(body),
-        "titleii": F.coalesce(source_stance(source, labels), F.col("_stance")),
-        "words": text.word_count(body),
-        "untaggable": text.untaggable(body),
-    }
-    for leaf in LATER_LEAVES:
-        leaves[leaf.name] = F.lit(None).cast(leaf.dataType)
-    struct = F.struct(*(leaves[f.name].alias(f.name) for f in ANALYSIS.fields))
-    return staged.withColumn("analysis", struct).drop("_lower", "_source", "_stance")
+    row = Row(frozenset(filings.columns), source, F.col("_stance"), source_stance(source, labels))
+    return staged.withColumn("analysis", F.struct(*leaves(row))).drop("_lower", "_source", "_stance")

@@ -2,31 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions import predicates
 from ..functions.predicates import Reviewed, Tags
-from ..spark_env import cut_lineage, materialize
+from ..spark_env import cut_lineage, discard, materialize
+from . import similarity
 from .similarity import Index, query_of, shape_of, signature_matches, too_short
 from .skew import lookup
 
 
+# Copies of a node's minimum in the joins below, so that a hub's edges fall to several tasks; the
+# copy also leaves both sides as plain shuffles, which adaptive execution splits further.
+SALT = 8
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``node, component`` for an edge table ``a, b``; the component is its smallest node.
 
     Alternates the large-star and small-star steps of Kiveris et al. (2014), which need a
     logarithmic number of rounds and never hold a node's whole neighbourhood in one task: minima
-    are partial aggregates and the join back goes through ``lookup``, which spreads hub nodes.
+    are partial aggregates and the join back is salted. A round is one job; its table replaces the
+    one before.
     """
     pairs = edges.filter(F.col("a") != F.col("b")).select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     )
-    current = cut_lineage(pairs.distinct())
-    seen = _summary(current)
+    current, seen = _written(pairs.distinct())
     for _ in range(max_rounds):
-        current = cut_lineage(_small_star(_large_star(current)))
-        now = _summary(current)
+        if not seen[0]:
+            break
+        before = current
+        current, now = _written(_small_star(_large_star(current)))
+        discard(before)
         if now == seen:
             break
         seen = now
@@ -37,39 +46,82 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return members.unionByName(roots)
 
 
-def _summary(edges: DataFrame) -> tuple:
-    # Fixed-width sums of hashes; decimal so that it cannot overflow.
-    row = edges.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")
-    ).first()
-    return row["n"], row["h"]
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges as a table, and their number and sum of hashes, taken while they are written."""
+    seen = Observation()
+    # Decimal so that it cannot overflow.
+    total = F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))
+    table = materialize(edges.observe(seen, F.count(F.lit(1)).alias("n"), total.alias("h")), "edges")
+    return table, (seen.get["n"], seen.get["h"])
+
+
+def _with_minimum(edges: DataFrame, low: DataFrame) -> DataFrame:
+    """``u, v, m`` of each edge, with ``low`` (``u, m``) joined on."""
+    copies = low.select("u", "m", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("_salt"))
+    salted = edges.withColumn("_salt", F.pmod(F.xxhash64("v"), F.lit(SALT)).cast("int"))
+    return salted.join(copies.hint("merge"), ["u", "_salt"]).select("u", "v", "m")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("degree")).select(
-        "u", F.least("m", "u").alias("m"), "degree"
-    )
-    joined = lookup(both.filter(F.col("v") > F.col("u")), low, "u", "degree", F.col("v"))
-    return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).filter(F.col("u") != F.col("v")).distinct()
+    low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
+    # Of the two directions of an edge, v > u holds for the one from its smaller end.
+    upward = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
+    joined = _with_minimum(upward, low)
+    return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).filter(F.col("u") != F.col("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    low = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("degree"))
-    joined = lookup(edges, low, "u", "degree", F.col("v"))
-    moved = joined.filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    kept = low.select("u", F.col("m").alias("v"))
-    return moved.unionByName(kept).distinct()
-
-
-def _leader_edges(index: Index, seed_reps: DataFrame, hubs: DataFrame) -> DataFrame:
-    """Edges from every shape a query matches to the smallest shape it matches."""
-    matches = signature_matches(index, seed_reps)
-    found = materialize(matches.join(hubs.hint("merge"), "shape").select("query_id", "node"), "matches")
-    hub = found.groupBy("query_id").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n"))
-    return lookup(found, hub, "query_id", "n", F.col("node")).select(
-        F.col("node").alias("a"), F.col("hub").alias("b")
-    )
+    low = edges.groupBy("u").agg(F.min("v").alias("m"))
+    moved = _with_minimum(edges, low).filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.unionByName(low.select("u", F.col("m").alias("v"))).distinct()
+
+
+def _tagged(query: Column) -> Column:
+    """Queries and shapes are vertices of one graph; their names must differ."""
+    return F.concat(F.unhex(F.lit("01")), query)
+
+
+def shape_components(index: Index, seed_reps: DataFrame, targets: DataFrame) -> DataFrame:
+    """``shape, component``: target shapes (``shape``) connected by the queries of ``seed_reps``.
+
+    First every query meets only one shape of each list that it probes, the same in all lists, and is
+    checked against it if it meets it often enough. What that connects is skipped from then on: in
+    each list, queries and shapes of the component that most of its shapes belong to do not meet.
+    So thousands of variants of one template cost a few checks each, and all other pairs are found
+    as in ``signature_matches``.
+    """
+    split = index.params.split_rows
+    queries = materialize(similarity.query_words(index, seed_reps), "queries")
+    shapes = materialize(similarity.shape_words(index).join(targets, "shape", "left_semi"), "target-shapes")
+    own = query_of(index).join(seed_reps, "rep", "left_semi").join(shape_of(index), "rep").select("query_id", "shape").distinct()
+
+    lists = similarity.posting_lists(shapes, split)
+    heads = lists.groupBy("number", "part").agg(F.min("shape").alias("shape"))
+    first = similarity.held_often(similarity.probe_rows(queries, split).join(heads, ["number", "part"]))
+    known = similarity.checked(first, queries, shapes).unionByName(own.join(shapes.select("shape"), "shape", "left_semi").select("query_id", "shape"))
+    known = materialize(known, "first-matches")
+    graph = connected_components(known.select(_tagged(F.col("query_id")).alias("a"), F.col("shape").alias("b")))
+    placed = lambda rows, name: rows.join(graph, name == F.col("node"), "left").withColumn("comp", F.coalesce("component", name)).drop("node", "component")
+    asking = materialize(placed(queries, _tagged(F.col("query_id"))), "placed-queries")
+    held = materialize(placed(shapes, F.col("shape")), "placed-shapes")
+    probes = materialize(similarity.probe_rows(asking, split, "comp"), "probes")
+    entries = similarity.posting_lists(held, split, "comp").join(probes.select("number").distinct(), "number", "left_semi")
+    # A word's main component is the same in every part; words of which every shape is its own have none.
+    by_comp = entries.groupBy("number", "comp").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    skip = materialize(by_comp.groupBy("number").agg(F.max(F.struct("c", "comp"))["comp"].alias("main")), "skipped")
+    inside = F.coalesce(F.col("comp") == F.col("main"), F.lit(False))
+    x = probes.join(skip, "number", "left").select("number", "part", "query_id", "hits", F.col("comp").alias("x_comp"), inside.alias("x_inside"))
+    y = entries.join(skip, "number", "left").select("number", "part", "shape", F.col("comp").alias("y_comp"), inside.alias("y_inside"))
+    meet = lambda a, b: a.join(b, ["number", "part"]).filter("x_comp <> y_comp").select("query_id", "shape", "hits")
+    met = meet(x, y.filter("not y_inside")).unionByName(meet(x.filter("not x_inside"), y.filter("y_inside")))
+    late = materialize(similarity.checked(similarity.held_often(met), queries, shapes), "late-matches")
+
+    across = late.join(asking.select("query_id", F.col("comp").alias("a")), "query_id").join(held.select("shape", F.col("comp").alias("b")), "shape")
+    joined = connected_components(across.select("a", "b").distinct()).select(F.col("node").alias("comp"), "component")
+    # A shape that no query reaches is in no cluster.
+    reached = held.join(known.unionByName(late).select("shape").distinct(), "shape", "left_semi")
+    return reached.select("shape", "comp").join(joined, "comp", "left").select("shape", F.coalesce("component", "comp").alias("component"))
 
 
 def cluster_members(index: Index, seeds: DataFrame, targets: DataFrame) -> DataFrame:
@@ -78,20 +130,14 @@ def cluster_members(index: Index, seeds: DataFrame, targets: DataFrame) -> DataF
     Every seed searches, at any size of the corpus. Runs jobs while it is built.
     """
     reps = index.members
-    shapes = shape_of(index)
-    target_rows = targets.select("doc_id").join(reps, "doc_id").join(shapes, "rep").select("doc_id", "shape")
-    nodes = cut_lineage(target_rows.groupBy("shape").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("docs")))
-    hubs = nodes.select("shape", "node")
-    open_seeds = cut_lineage(
-        seeds.select("doc_id").join(reps, "doc_id").select("rep").distinct().join(query_of(index), "rep").join(shapes, "rep")
-    )
-    edges = cut_lineage(_leader_edges(index, open_seeds.select("rep").distinct(), hubs))
-    components = connected_components(edges)
-    # A seed that matches only its own shape has an edge to itself and no component row.
-    lone = edges.select(F.col("a").alias("node"), F.col("a").alias("component")).join(components, "node", "left_anti").distinct()
-    labels = components.unionByName(lone)
-    clustered = nodes.join(labels, "node").select("shape", F.col("component").alias("cluster"), "docs")
-    return lookup(target_rows, clustered, "shape", "docs", F.col("doc_id")).select("doc_id", "cluster")
+    target_rows = materialize(targets.select("doc_id").join(reps, "doc_id").join(shape_of(index), "rep").select("doc_id", "shape"), "target-rows")
+    nodes = materialize(target_rows.groupBy("shape").agg(F.min("doc_id").alias("node")), "target-nodes")
+    seed_reps = materialize(seeds.select("doc_id").join(reps, "doc_id").select("rep").distinct(), "seed-texts")
+    found = materialize(shape_components(index, seed_reps, nodes.select("shape")).join(nodes, "shape"), "shape-components")
+    names = materialize(found.groupBy("component").agg(F.min("node").alias("cluster")), "component-names")
+    # Stored tables on both sides: a component or shape of very many rows is split by Spark.
+    clustered = materialize(found.join(names, "component").select("shape", "cluster"), "shape-clusters")
+    return target_rows.join(clustered, "shape").select("doc_id", "cluster")
 
 
 def cluster_sizes(members: DataFrame) -> DataFrame:

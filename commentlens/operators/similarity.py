@@ -7,16 +7,17 @@
    share one *shape*. A query either matches a whole shape or none of it, so near copies that
    differ only in rare words (names, towns) are compared once.
 4. A match needs ``need`` of the ``k`` query words and so misses at most ``k - need``. Of any
-   ``k - need + e`` query words it must hold at least ``e``. Candidates are the shapes that hold
-   ``e`` of that many rarest words; every candidate is then checked exactly. No partner is lost,
-   and no cap is set.
+   ``k - need + e`` query words it must hold at least ``e``. Candidates are the shapes found in
+   the posting lists of ``e`` of that many rarest words; every candidate is then checked exactly.
+   No partner is lost, and no cap is set.
+5. Words are numbers from the vocabulary on: lists, candidates and checks carry 8 bytes a word.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import english_tokens, fingerprint, normalize_space, tokens, word_count, word_list
@@ -26,8 +27,8 @@ from .ranking import idf as bm25_idf
 from .ranking import saturation
 from .skew import lookup
 
-# The ``e`` above. More probes make fewer candidates; three is a good balance.
-PROBE_HITS = 3
+# The ``e`` above. More probes read longer lists and make fewer candidates; five is a good balance.
+PROBE_HITS = 5
 
 # Shapes of one candidate word that one task may hold; words in more shapes are split.
 SPLIT_ROWS = 50_000
@@ -48,7 +49,7 @@ class Params:
 class Index:
     """``profiles``: one row per distinct text. ``members``: which documents have that text."""
 
-    profiles: DataFrame  # rep, weight, terms array<string>, query array<struct<term,nd>>
+    profiles: DataFrame  # rep, weight, terms array<string>, words and query array<struct<number,nd,...>>, shape, query_id
     members: DataFrame  # doc_id, rep
     params: Params
 
@@ -84,7 +85,8 @@ def build_index(
     # keys, the words of each distinct text, and the document frequencies.
     keyed = materialize(present.select("doc_id", text_key(F.col("text")).alias("key")), "keys")
     groups = keyed.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight"))
-    members = lookup(keyed, groups, "key", "weight", F.col("doc_id")).select("doc_id", "rep")
+    groups = materialize(groups, "texts")
+    members = materialize(keyed.join(groups.select("key", "rep"), "key").select("doc_id", "rep"), "members")
 
     # rep is a unique document id, so this join and the count per (rep, term) are even, and the
     # count reuses the partitioning of the join.
@@ -103,22 +105,26 @@ def build_index(
     eligible = frequency.crossJoin(F.broadcast(corpus)).filter(F.col("df") >= params.min_df)
     if params.max_df_share is not None:
         eligible = eligible.filter(F.col("df") <= F.col("n") * params.max_df_share)
-    eligible = materialize(eligible, "frequencies")
-    weighted = lookup(
-        counted.select("rep", "weight", "term", "tf"), eligible, "term", "nd", F.col("rep")
-    ).withColumn("score", F.round(F.col("tf") * (F.lit(1.0) + F.log(F.col("n") / (F.col("df") + 1))), 6))
+    eligible = materialize(eligible.withColumn("number", F.monotonically_increasing_id()), "frequencies")
+    # Both sides are stored tables, so Spark broadcasts a vocabulary under its limit of size and
+    # otherwise splits the rows of a very common word itself.
+    weighted = counted.join(eligible, "term").withColumn("score", F.round(F.col("tf") * (F.lit(1.0) + F.log(F.col("n") / (F.col("df") + 1))), 6))
     per_text = weighted.groupBy("rep").agg(
         F.first("weight").alias("weight"),
         F.sort_array(
-            F.collect_list(F.struct((-F.col("score")).alias("order"), "term", "nd", "score"))
+            F.collect_list(F.struct((-F.col("score")).alias("order"), "term", "nd", "score", "number"))
         ).alias("ranked"),
     )
     profiles = per_text.select(
         "rep",
         "weight",
         F.sort_array(F.transform("ranked", lambda r: r["term"])).alias("terms"),
+        F.sort_array(F.transform("ranked", lambda r: F.struct(r["number"].alias("number"), r["nd"].alias("nd")))).alias("words"),
         F.slice("ranked", 1, params.max_terms).alias("query"),
     )
+    profiles = profiles.withColumns(
+        {"shape": _signature(_numbers(F.col("words"))), "query_id": _signature(F.sort_array(_numbers(F.col("query"))))}
+    )
     return Index(materialize(profiles, "profiles"), members, params)
 
 
@@ -129,75 +135,99 @@ def query_table(index: Index) -> DataFrame:
     )
 
 
-def _signature(terms: Column) -> Column:
-    return F.sha2(F.array_join(terms, " "), 256)
+def _signature(numbers: Column) -> Column:
+    """16 bytes that name a sorted array of word numbers."""
+    return F.unhex(F.md5(F.array_join(numbers.cast("array<string>"), " ")))
+
+
+def _numbers(words: Column) -> Column:
+    return F.transform(words, lambda w: w["number"])
 
 
 def shape_of(index: Index) -> DataFrame:
     """``rep, shape`` for every distinct text."""
-    return index.profiles.select("rep", _signature(F.col("terms")).alias("shape"))
+    return index.profiles.select("rep", "shape")
 
 
 def query_of(index: Index) -> DataFrame:
     """``rep, query_id`` for every distinct text with enough query words."""
-    words = F.sort_array(F.transform("query", lambda q: q["term"]))
-    return index.profiles.filter(F.size("query") >= index.params.min_terms).select(
-        "rep", _signature(words).alias("query_id")
-    )
+    return index.profiles.filter(F.size("query") >= index.params.min_terms).select("rep", "query_id")
 
 
-def signature_matches(index: Index, seed_reps: DataFrame | None = None) -> DataFrame:
-    """``query_id, shape`` pairs where the shape holds enough of the query's words.
+def query_words(index: Index, seed_reps: DataFrame | None = None) -> DataFrame:
+    """``query_id, numbers, need, hits, probes``: the distinct queries of the texts in ``seed_reps``.
 
-    ``seed_reps`` (column ``rep``) restricts which texts act as queries.
+    ``probes`` are the rarest words (``number, nd``) of which a match holds ``hits``. Word
+    statistics are the same in every profile, so any row of a group can stand for it.
     """
     p = index.params
     seeds = index.profiles.filter(F.size("query") >= p.min_terms)
     if seed_reps is not None:
         seeds = seeds.join(seed_reps.select("rep").distinct(), "rep", "left_semi")
-    words = F.sort_array(F.transform("query", lambda q: q["term"]))
-    # Word statistics are the same in every profile, so any row of the group can stand for it.
-    queries = (
-        seeds.select(_signature(words).alias("query_id"), words.alias("words"),
-                     F.sort_array(F.transform("query", lambda q: F.struct(q["nd"].alias("nd"), q["term"].alias("term")))).alias("rarest"))
+    numbers = F.sort_array(_numbers(F.col("query")))
+    rarest = F.sort_array(F.transform("query", lambda q: F.struct(q["nd"].alias("nd"), q["number"].alias("number"))))
+    need = F.greatest(F.lit(1), F.floor(F.size("numbers") * F.lit(p.match_share)).cast("int"))
+    return (
+        seeds.select("query_id", numbers.alias("numbers"), rarest.alias("rarest"))
         .dropDuplicates(["query_id"])
-        .withColumn("need", F.greatest(F.lit(1), F.floor(F.size("words") * F.lit(p.match_share)).cast("int")))
+        .withColumn("need", need)
         .withColumn("hits", F.least(F.lit(PROBE_HITS), F.col("need")))
+        .select("query_id", "numbers", "need", "hits", F.slice("rarest", F.lit(1), F.size("numbers") - F.col("need") + F.col("hits")).alias("probes"))
     )
-    shapes = index.profiles.select(
-        _signature(F.col("terms")).alias("shape"), "terms"
-    ).dropDuplicates(["shape"])
-
-    # A word in very many shapes is split: its shapes are dealt to ``splits`` parts and the (few)
-    # queries that probe it are copied to each part, so no task holds all shapes of a common word.
-    splits = F.greatest(F.lit(1), F.ceil(F.col("nd") / F.lit(p.split_rows))).cast("int")
-    probes = (
-        queries.select(
-            "query_id",
-            "hits",
-            F.explode(F.slice("rarest", F.lit(1), F.size("words") - F.col("need") + F.col("hits"))).alias("probe"),
-        )
-        .select("query_id", "hits", F.col("probe.term").alias("term"), F.col("probe.nd").alias("nd"))
-    )
-    probe_terms = probes.groupBy("term").agg(F.max("nd").alias("nd"))
-    dealt = (
-        lookup(shapes.select("shape", F.explode("terms").alias("term")), probe_terms, "term", "nd", F.col("shape"))
-        .select("shape", "term", F.pmod(F.xxhash64("shape"), splits).cast("int").alias("part"))
-    )
-    copied = probes.select("query_id", "hits", "term", F.explode(F.sequence(F.lit(0), splits - 1)).alias("part"))
-    candidates = (
-        copied.join(dealt.hint("merge"), ["term", "part"])
-        .groupBy("query_id", "shape", "hits")
-        .agg(F.count(F.lit(1)).alias("found"))
-        .filter(F.col("found") >= F.col("hits"))
-        .select("query_id", "shape")
-    )
-    checked = (
-        candidates.join(queries.select("query_id", "words", "need").hint("merge"), "query_id")
-        .join(shapes.hint("merge"), "shape")
-        .filter(F.size(F.array_intersect("words", "terms")) >= F.col("need"))
+
+
+def shape_words(index: Index) -> DataFrame:
+    """``shape, words`` of the distinct shapes."""
+    return index.profiles.select("shape", "words").dropDuplicates(["shape"])
+
+
+def _parts(nd: Column, split_rows: int) -> Column:
+    return F.greatest(F.lit(1), F.ceil(nd / F.lit(split_rows))).cast("int")
+
+
+def posting_lists(shapes: DataFrame, split_rows: int, *more: str) -> DataFrame:
+    """``number, part, shape`` and ``more``: the shapes that hold each word.
+
+    A word in very many shapes is split: its shapes are dealt to parts, and the (few) queries that
+    probe it are copied to each, so no task holds all shapes of a common word.
+    """
+    part = F.pmod(F.xxhash64("shape"), _parts(F.col("w.nd"), split_rows)).cast("int")
+    return shapes.select("shape", *more, F.explode("words").alias("w")).select(F.col("w.number").alias("number"), part.alias("part"), "shape", *more)
+
+
+def probe_rows(queries: DataFrame, split_rows: int, *more: str) -> DataFrame:
+    """``number, part, query_id, hits`` and ``more``: one row for each probe and part of its list."""
+    parts = F.sequence(F.lit(0), _parts(F.col("p.nd"), split_rows) - 1)
+    return queries.select("query_id", "hits", *more, F.explode("probes").alias("p")).select(
+        F.col("p.number").alias("number"), F.explode(parts).alias("part"), "query_id", "hits", *more
     )
-    return checked.select("query_id", "shape")
+
+
+def held_often(met: DataFrame) -> DataFrame:
+    """``query_id, shape`` pairs that meet in enough lists."""
+    found = met.groupBy("query_id", "shape", "hits").agg(F.count(F.lit(1)).alias("found"))
+    return found.filter(F.col("found") >= F.col("hits")).select("query_id", "shape")
+
+
+def checked(candidates: DataFrame, queries: DataFrame, shapes: DataFrame) -> DataFrame:
+    """The candidates whose shape holds enough of the query's words."""
+    asked = candidates.join(queries.select("query_id", "numbers", "need"), "query_id")
+    held = shapes.select("shape", _numbers(F.col("words")).alias("held"))
+    shared = F.size(F.array_intersect("numbers", "held"))
+    return asked.join(held, "shape").filter(shared >= F.col("need")).select("query_id", "shape")
+
+
+def signature_matches(index: Index, seed_reps: DataFrame | None = None) -> DataFrame:
+    """``query_id, shape`` pairs where the shape holds enough of the query's words.
+
+    ``seed_reps`` (column ``rep``) restricts which texts act as queries. Queries and shapes are read
+    twice, so they are written once; that also tells Spark their sizes, by which it chooses joins.
+    """
+    split = index.params.split_rows
+    queries, shapes = materialize(query_words(index, seed_reps), "queries"), materialize(shape_words(index), "shapes")
+    probes = materialize(probe_rows(queries, split), "probes")
+    met = probes.join(posting_lists(shapes, split), ["number", "part"])
+    return checked(held_often(met), queries, shapes)
 
 
 def similar_pairs(index: Index, seeds: DataFrame, targets: DataFrame) -> DataFrame:
@@ -208,8 +238,8 @@ def similar_pairs(index: Index, seeds: DataFrame, targets: DataFrame) -> DataFra
     target_rows = targets.select("doc_id").join(doc_rep, "doc_id").join(shape_of(index), "rep")
     matches = signature_matches(index, seed_rows.select("rep"))
     return (
-        matches.join(seed_rows.select(F.col("doc_id").alias("seed"), "query_id").hint("merge"), "query_id")
-        .join(target_rows.select("doc_id", "shape").hint("merge"), "shape")
+        matches.join(seed_rows.select(F.col("doc_id").alias("seed"), "query_id"), "query_id")
+        .join(target_rows.select("doc_id", "shape"), "shape")
         .filter(F.col("seed") != F.col("doc_id"))
         .select("seed", "doc_id")
     )
@@ -228,14 +258,14 @@ def match_totals(index: Index, seeds: DataFrame, targets: DataFrame, by: str) ->
     shape_counts = rep_counts.join(shapes, "rep").groupBy("shape", by).agg(F.sum("n").alias("n"))
     totals = (
         signature_matches(index, seed_rows.select("rep"))
-        .join(shape_counts.hint("merge"), "shape")
+        .join(shape_counts, "shape")
         .groupBy("query_id", by)
         .agg(F.sum("n").alias("n"))
     )
     own = targets.select("doc_id", F.col(by).alias("_own"), F.lit(True).alias("_self"))
     return (
         seed_rows.join(own, "doc_id", "left")
-        .join(totals.hint("merge"), "query_id")
+        .join(totals, "query_id")
         .withColumn(
             "n",
             F.col("n") - F.when(F.col("_self") & F.col(by).eqNullSafe(F.col("_own")), 1).otherwise(0),
@@ -272,70 +302,78 @@ def neighbour_vote(
     match_share: float = 0.8,
     doc_id: str = "id_submission",
     text: str = "text_data",
+    manual: str | None = None,
 ) -> DataFrame:
     """Guess the position of a few random untagged documents from their most similar tagged ones.
 
-    ``seed_id, votes, neighbours``: plus one per positive neighbour, minus one per negative. Only
-    the words of the sampled documents are ever joined, so the broadcast side is bounded by
-    ``samples`` documents (first step) and ``samples * max_terms`` rows (second step).
+    ``seed_id, votes, neighbours``: plus one per positive neighbour, minus one per other. With
+    ``manual``, a second column of positions, a document is tagged when either is set and positive when
+    either is true.
+
+    The corpus is read twice: once without its words for the sample, and once for everything else.
+    That pass keeps, of each document, only the words that sampled documents hold; numbers and
+    mean length of all documents are taken on the way. What is broadcast are the words of ``samples``
+    documents, and at most ``samples * max_terms`` rows of query words.
     """
     english = english_tokens(tokens(F.col(text)))
     long_words = F.filter(
         english, lambda w: (F.length(w) >= min_length) & ~w.isin(NEIGHBOUR_STOP_WORDS)
     )
-    base = docs.filter(F.col(text).isNotNull()).select(
-        F.col(doc_id).alias("doc_id"), F.col(stance).alias("stance"), long_words.alias("words")
+    given = [F.col(c) for c in (stance, manual) if c is not None]
+    rows = docs.filter(F.col(text).isNotNull()).select(
+        F.col(doc_id).alias("doc_id"), F.col(text).alias(text),
+        F.coalesce(*given).isNotNull().alias("tagged"), F.greatest(F.lit(False), *given).alias("positive"),
+    )
+    chosen = materialize(
+        rows.filter(~F.col("tagged")).orderBy(sample_order(F.col("doc_id"), seed), "doc_id").limit(samples)
+        .select(F.col("doc_id").alias("seed_id"), long_words.alias("words")),
+        "vote-seeds",
     )
-    chosen = (
-        base.filter(F.col("stance").isNull())
-        .orderBy(sample_order(F.col("doc_id"), seed), "doc_id")
-        .limit(samples)
+    chosen_terms = chosen.select("seed_id", F.explode("words").alias("term")).groupBy("seed_id", "term").agg(
+        F.count(F.lit(1)).alias("tf")
     )
-    chosen_terms = (
-        chosen.select(F.col("doc_id").alias("seed_id"), F.explode("words").alias("term"))
-        .groupBy("seed_id", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
+    none = chosen.select("seed_id", F.lit(0).cast("long").alias("votes"), F.lit(0).cast("long").alias("neighbours"))
+    if chosen_terms.isEmpty():
+        return none
+    seen = Observation()
+    counted = rows.select("doc_id", "tagged", "positive", long_words.alias("words")).withColumn("len", F.size("words")).observe(
+        seen, F.count(F.lit(1)).cast("double").alias("n"), F.avg("len").alias("mean_len")
     )
     vocabulary = chosen_terms.select("term").distinct()
-    frequency = (
-        base.select(F.explode(F.array_distinct("words")).alias("term"))
+    held = materialize(
+        counted.select("doc_id", "tagged", "positive", "len", F.explode("words").alias("term"))
         .join(F.broadcast(vocabulary), "term")
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"))
-        .filter(F.col("df") >= min_df)
+        .groupBy("doc_id", "tagged", "positive", "len", "term")
+        .agg(F.count(F.lit(1)).alias("tf")),
+        "vote-words",
     )
-    totals = base.agg(F.count(F.lit(1)).cast("double").alias("n"), F.avg(F.size("words")).alias("mean_len"))
-    ranked = (
-        chosen_terms.join(frequency, "term")
-        .crossJoin(F.broadcast(totals))
-        .withColumn("weight", F.round(F.col("tf") * (F.lit(1.0) + F.log(F.col("n") / (F.col("df") + 1))), 6))
+    n, mean_len = F.lit(seen.get["n"]), F.lit(seen.get["mean_len"])
+    frequency = held.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= min_df)
+    ranked = chosen_terms.join(frequency, "term").withColumn(
+        "weight", F.round(F.col("tf") * (F.lit(1.0) + F.log(n / (F.col("df") + 1))), 6)
     )
     best = Window.partitionBy("seed_id").orderBy(F.col("weight").desc(), F.col("term"))
     query = ranked.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= max_terms)
     query = query.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("seed_id"))).select(
-        "seed_id", "term", "df", "n", "mean_len", F.greatest(F.lit(1), F.floor(F.col("k") * F.lit(match_share))).alias("need")
-    )
-    tagged = base.filter(F.col("stance").isNotNull())
-    hits = (
-        tagged.select("doc_id", "stance", F.size("words").alias("len"), F.explode("words").alias("term"))
-        .join(F.broadcast(query), "term")
-        .groupBy("seed_id", "doc_id", "stance", "len", "term", "df", "n", "mean_len", "need")
-        .agg(F.count(F.lit(1)).alias("tf"))
+        "seed_id", "term", "df", F.greatest(F.lit(1), F.floor(F.col("k") * F.lit(match_share))).alias("need")
     )
     scored = (
-        hits.groupBy("seed_id", "doc_id", "stance", "need")
+        held.filter("tagged")
+        .join(F.broadcast(query), "term")
+        .groupBy("seed_id", "doc_id", "positive", "need")
         .agg(
             F.count(F.lit(1)).alias("shared"),
-            F.round(F.sum(bm25_idf(F.col("n"), F.col("df")) * saturation(F.col("tf"), F.col("len"), F.col("mean_len"))), 6).alias("score"),
+            F.round(F.sum(bm25_idf(n, F.col("df")) * saturation(F.col("tf"), F.col("len"), mean_len)), 6).alias("score"),
         )
         .filter(F.col("shared") >= F.col("need"))
     )
+    # Each task keeps its own first ``neighbours`` of a seed; only these are shuffled.
     nearest = Window.partitionBy("seed_id").orderBy(F.col("score").desc(), F.col("doc_id"))
     voters = scored.withColumn("_r", F.row_number().over(nearest)).filter(F.col("_r") <= neighbours)
     votes = voters.groupBy("seed_id").agg(
-        F.sum(F.when(F.col("stance"), 1).otherwise(-1)).alias("votes"), F.count(F.lit(1)).alias("neighbours")
+        F.sum(F.when(F.col("positive"), 1).otherwise(-1)).alias("votes"), F.count(F.lit(1)).alias("neighbours")
     )
-    return chosen.select(F.col("doc_id").alias("seed_id")).join(votes, "seed_id", "left").select(
+    return none.select("seed_id").join(votes, "seed_id", "left").select(
         "seed_id",
         F.coalesce(F.col("votes"), F.lit(0)).cast("long").alias("votes"),
         F.coalesce(F.col("neighbours"), F.lit(0)).cast("long").alias("neighbours"),

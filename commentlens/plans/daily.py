@@ -23,11 +23,14 @@ def ingest(spark: SparkSession, raw: DataFrame, table: str, **rules) -> None:
     store.upsert(spark, table, stamped)
 
 
-def run_day(spark: SparkSession, source: str, table: str, day: str | None = None, docket: str | None = None, **rules) -> None:
+def run_day(
+    spark: SparkSession, source: str, table: str, day: str | None = None, docket: str | None = None, landed: bool = False, **rules
+) -> None:
     """One day, optionally of one docket, from the filing files into the table. A second run gives
-    the same table."""
-    raw = filings.read_filings(spark, source, docket)
-    ingest(spark, raw.filter(predicates.on_day(F.col("date_disseminated"), day or default_day())), table, **rules)
+    the same table. Of files that ``filings.land`` has written (``landed``) only that day's are read."""
+    day = day or default_day()
+    raw = filings.read_landed(spark, source, day, day, docket) if landed else filings.read_filings(spark, source, docket)
+    ingest(spark, raw.filter(predicates.on_day(F.col("date_disseminated"), day)), table, **rules)
 
 
 def reannotate_patch(comments: DataFrame, day: str | None = None, limit: int | None = None, **rules) -> DataFrame:
@@ -54,5 +57,5 @@ def reannotate_patch(comments: DataFrame, day: str | None = None, limit: int | N
 
 
 def reannotate(spark: SparkSession, table: str, day: str | None = None, limit: int | None = None, **rules) -> None:
-    patch = reannotate_patch(spark.read.parquet(table), day, limit, **rules)
+    patch = reannotate_patch(store.read_comments(spark, table, None), day, limit, **rules)
     store.update_analysis(spark, table, patch, present="present")

@@ -37,7 +37,7 @@ def in_window(comments: DataFrame, begin: str | None = None, end: str | None = N
 
 
 def _untagged(spark: SparkSession, table: str, reviewed: Reviewed, begin: str | None, end: str | None) -> DataFrame:
-    return in_window(spark.read.parquet(table), begin, end).filter(predicates.untagged(Tags(), reviewed))
+    return in_window(store.read_comments(spark, table, None), begin, end).filter(predicates.untagged(Tags(), reviewed))
 
 
 def tag_phrases(
@@ -56,23 +56,23 @@ def tag_relevance(
     Word statistics come from the whole table.
     """
     rows = _untagged(spark, table, reviewed, begin, end)
-    scores = bm25_scores(rows, domain.RANKING_CLAUSES, domain.RANKING_PHRASE, corpus=spark.read.parquet(table))
+    scores = bm25_scores(rows, domain.RANKING_CLAUSES, domain.RANKING_PHRASE, corpus=store.read_comments(spark, table, None))
     store.update_analysis(spark, table, relevance_tag(scores, k))
 
 
 def cluster_day(spark: SparkSession, table: str, day: str | None = None, params: Params = Params(), min_cluster: int = 100) -> None:
     """Clusters that start from the comments of one day, or from all; any comment may join them."""
-    comments = spark.read.parquet(table)
+    comments = store.read_comments(spark, table, None)
     patch = cluster_patch(comments, build_index(comments, params), day=day, min_cluster=min_cluster)
     store.update_analysis(spark, table, patch)
 
 
 def flag_breaches(spark: SparkSession, table: str, breaches: DataFrame, begin: str | None = None, end: str | None = None) -> None:
     """Sets ``breached`` where it is not set yet; ``breaches`` has a column ``email``."""
-    rows = in_window(spark.read.parquet(table), begin, end).filter(F.col("analysis.breached").isNull())
+    rows = in_window(store.read_comments(spark, table, None), begin, end).filter(F.col("analysis.breached").isNull())
     store.update_analysis(spark, table, breach_patch(rows, email_breach_flags(rows, breaches)))
 
 
 def label_manually(spark: SparkSession, table: str, labels: DataFrame, label: str = "label") -> None:
     """Writes the positions that people gave: ``labels`` has the comment id and a boolean."""
-    store.update_analysis(spark, table, manual_label_patch(spark.read.parquet(table), labels, label, store.KEY))
+    store.update_analysis(spark, table, manual_label_patch(store.read_comments(spark, table, None), labels, label, store.KEY))

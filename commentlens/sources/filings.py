@@ -12,6 +12,7 @@ from ..functions.flags import shrink_proceedings
 from ..schema import ADDRESS, ADDRESSES, FILING
 
 EARLIEST = "2000-01-01"
+NO_DAY = "1970-01-01"
 
 # The address comes as one object or as a list of them, so the reader keeps its JSON text.
 RAW = T.StructType(
@@ -52,13 +53,46 @@ def shape_filings(raw: DataFrame) -> DataFrame:
 def read_filings(spark: SparkSession, path: str, docket: str | None = None) -> DataFrame:
     """JSON-lines filings. The explicit schema is the whitelist: other fields are never parsed.
 
-    ``docket`` keeps the filings of one proceeding; its name is gone once proceedings are shrunk.
-    Files are split by Spark's own reader settings (``spark.sql.files.*``).
+    ``docket`` keeps the filings of one proceeding. Files are split by Spark's own reader settings (``spark.sql.files.*``).
     """
-    raw = spark.read.schema(RAW).json(path)
-    if docket is not None:
-        raw = raw.filter(in_docket(F.col("proceedings"), docket))
-    return shape_filings(raw)
+    return shape_filings(of_docket(spark.read.schema(RAW).json(path), docket))
+
+
+def land(spark: SparkSession, path: str, landing: str, batch: str) -> None:
+    """Copy raw JSON lines to ``<landing>/day=<day>/batch=<batch>``, by day of dissemination.
+
+    Lines stay as they came, so fields outside today's whitelist are kept. Only the date is parsed;
+    lines without one go to 1970-01-01. Landing a batch again replaces it.
+    """
+    lines = spark.read.text(path)
+    when = F.from_json("value", "date_disseminated timestamp")["date_disseminated"]
+    day = F.coalesce(F.to_date(when), F.to_date(F.lit(NO_DAY))).alias("day")
+    (
+        lines.select("value", day, F.lit(batch).alias("batch"))
+        .hint("rebalance", "day")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("day", "batch")
+        .text(landing)
+    )
+
+
+def read_landed(
+    spark: SparkSession, landing: str, first: str | None = None, last: str | None = None, docket: str | None = None
+) -> DataFrame:
+    """Landed filings of the days from ``first`` to ``last``, both included. Other days' files are not
+    opened. An id that several batches hold comes as often."""
+    raw = spark.read.schema(T.StructType([*RAW.fields, T.StructField("day", T.DateType())])).json(landing)
+    if first is not None:
+        raw = raw.filter(F.col("day") >= F.to_date(F.lit(first)))
+    if last is not None:
+        raw = raw.filter(F.col("day") <= F.to_date(F.lit(last)))
+    return shape_filings(of_docket(raw, docket))
+
+
+def of_docket(raw: DataFrame, docket: str | None) -> DataFrame:
+    """Raw rows of one docket, or all. Its name is gone once proceedings are shrunk."""
+    return raw if docket is None else raw.filter(in_docket(F.col("proceedings"), docket))
 
 
 def in_docket(proceedings: Column, name: str) -> Column:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,6 +56,15 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Gives this package to the session's Python workers, once: their functions import it."""
+    context, package = spark.sparkContext, Path(__file__).resolve().parent
+    if getattr(context, "_shipped_package", None) != str(package):
+        folder = tempfile.mkdtemp(prefix="package-")
+        context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
+        context._shipped_package = str(package)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later stages survive lost executors without recomputing ``df``."""
     spark = df.sparkSession

@@ -112,23 +112,26 @@ def catalogue_counts(spark, sf):
     return report.catalogue_counts(catalogue(spark), counts).select("source", "icon", "stance", "n")
 
 
-@query(
-    "full_report",
-    f"WITH {v.TAGGED}, b AS ({_BREACH}), p AS ({_top_sql(v.POSITIVE_SQL)}), g AS ({_top_sql(v.NEGATIVE_SQL)}), "
-    f"sig AS (SELECT max(n) AS n FROM (SELECT sig_terms, count(*) AS n FROM tagged WHERE {v.POSITIVE_SQL} AND sig_terms IS NOT NULL GROUP BY 1)) "
-    "SELECT (SELECT count(*) FROM tagged) AS total, (SELECT CAST(max(day_seen) AS VARCHAR) FROM tagged) AS latest, "
-    f"(SELECT count(*) FROM tagged WHERE {v.POSITIVE_SQL}) AS total_positive, (SELECT count(*) FROM tagged WHERE {v.NEGATIVE_SQL}) AS total_negative, "
-    f"(SELECT count(*) FROM tagged WHERE {v.POSITIVE_SQL} AND {v.NEGATIVE_SQL}) AS conflict, "
-    "(SELECT string_agg(source || ':' || n, ',' ORDER BY source) FROM (SELECT source, n FROM p UNION ALL SELECT 'sig_terms', n FROM sig WHERE n IS NOT NULL)) AS positive_by_source, "
-    "(SELECT string_agg(source || ':' || n, ',' ORDER BY source) FROM g) AS negative_by_source, "
-    "(SELECT string_agg(source || ':' || breached || '/' || unbreached, ',' ORDER BY source) FROM b) AS breached",
-)
-def full_report(spark, sf):
+def full_report_sql() -> str:
+    return (
+        f"WITH {v.TAGGED}, b AS ({_BREACH}), p AS ({_top_sql(v.POSITIVE_SQL)}), g AS ({_top_sql(v.NEGATIVE_SQL)}), "
+        f"sig AS (SELECT max(n) AS n FROM (SELECT sig_terms, count(*) AS n FROM tagged WHERE {v.POSITIVE_SQL} AND sig_terms IS NOT NULL GROUP BY 1)) "
+        "SELECT (SELECT count(*) FROM tagged) AS total, (SELECT CAST(max(day_seen) AS VARCHAR) FROM tagged) AS latest, "
+        f"(SELECT count(*) FROM tagged WHERE {v.POSITIVE_SQL}) AS total_positive, (SELECT count(*) FROM tagged WHERE {v.NEGATIVE_SQL}) AS total_negative, "
+        f"(SELECT count(*) FROM tagged WHERE {v.POSITIVE_SQL} AND {v.NEGATIVE_SQL}) AS conflict, "
+        "(SELECT string_agg(source || ':' || n, ',' ORDER BY source) FROM (SELECT source, n FROM p UNION ALL SELECT 'sig_terms', n FROM sig WHERE n IS NOT NULL)) AS positive_by_source, "
+        "(SELECT string_agg(source || ':' || n, ',' ORDER BY source) FROM g) AS negative_by_source, "
+        "(SELECT string_agg(source || ':' || breached || '/' || unbreached, ',' ORDER BY source) FROM b) AS breached"
+    )
+
+
+def flat_report(made):
+    """The report with its maps as text."""
     flat = lambda name, value: F.array_join(
         F.transform(F.array_sort(F.map_entries(name)), lambda e: F.concat(e["key"], F.lit(":"), value(e["value"]))), ","
     )
     number = lambda x: x.cast("string")
-    return report.full_report(_counts(spark, sf)).select(
+    return made.select(
         "total",
         F.col("latest").cast("string").alias("latest"),
         "total_positive",
@@ -140,6 +143,11 @@ def full_report(spark, sf):
     )
 
 
+@query("full_report", full_report_sql())
+def full_report(spark, sf):
+    return flat_report(report.full_report(_counts(spark, sf)))
+
+
 @query(
     "source_exemplars",
     f"WITH {v.TAGGED}, f AS (SELECT source, min(doc_id) AS doc_id FROM tagged GROUP BY source) "

@@ -166,17 +166,20 @@ def onsite_flag(spark, sf):
 
 @query(
     "shrunk_proceedings",
-    f"WITH {v.FILINGS} SELECT id_submission, array_to_string(list_transform(list_filter(proceedings, "
-    "lambda p: coalesce(p['_index'], '') <> ''), lambda p: p['_index']), ',') AS kept FROM filings WHERE proceedings IS NOT NULL "
-    "AND len(list_filter(proceedings, lambda p: coalesce(p['_index'], '') <> '')) > 0",
+    f"WITH {v.FILINGS}, k AS (SELECT id_submission, list_transform(list_filter(proceedings, "
+    "lambda p: coalesce(p['_index'], '') <> ''), lambda p: p['_index']) AS kept FROM filings) "
+    "SELECT id_submission, CASE WHEN len(kept) = 0 THEN '' ELSE array_to_string(kept, ',') END AS kept, CAST(len(kept) AS INTEGER) AS entries FROM k",
 )
 def shrunk_proceedings(spark, sf):
     kept = flags.shrink_proceedings(F.col("proceedings"))
     return (
         v.filings(spark, sf)
         .select("id_submission", kept.alias("p"))
-        .filter(F.size("p") > 0)
-        .select("id_submission", F.array_join(F.flatten(F.transform("p", lambda m: F.map_values(m))), ",").alias("kept"))
+        .select(
+            "id_submission",
+            F.array_join(F.flatten(F.transform("p", lambda m: F.map_values(m))), ",").alias("kept"),
+            F.when(F.col("p").isNotNull(), F.size("p")).alias("entries"),
+        )
     )
 
 

@@ -26,8 +26,8 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def _index(spark, sf):
-    return similarity.build_index(v.table(spark, sf, "documents"), PARAMS, "doc_id", "text")
+def _index(spark, sf, params=PARAMS):
+    return similarity.build_index(v.table(spark, sf, "documents"), params, "doc_id", "text")
 
 
 def _seeds(spark, sf):
@@ -41,28 +41,33 @@ def _targets(spark, sf):
 SEEDS_SQL = "SELECT doc_id FROM documents WHERE len(string_split(text, ' ')) >= 50"
 TARGETS_SQL = "SELECT doc_id, source FROM documents WHERE length(text) >= 13 AND len(string_split(text, ' ')) >= 3"
 
-TERMS_SQL = f"""WITH RECURSIVE {TOK}, occ AS (SELECT doc_id, unnest(words) AS term FROM tok),
+def terms_sql(params: similarity.Params) -> str:
+    above = f" AND df <= n * {params.max_df_share}" if params.max_df_share is not None else ""
+    return f"""WITH RECURSIVE {TOK}, occ AS (SELECT doc_id, unnest(words) AS term FROM tok),
   tf AS (SELECT doc_id, term, count(*) AS tf FROM occ GROUP BY 1, 2),
   n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM documents),
   df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
-  elig AS (SELECT term, df FROM df CROSS JOIN n WHERE df >= {PARAMS.min_df} AND df <= n * {PARAMS.max_df_share}),
+  elig AS (SELECT term, df FROM df CROSS JOIN n WHERE df >= {params.min_df}{above}),
   ranked AS (SELECT doc_id, term, row_number() OVER (PARTITION BY doc_id ORDER BY round(tf * (1 + ln(n / (df + 1))), 6) DESC, term) AS rank
     FROM tf JOIN elig USING (term) CROSS JOIN n),
-  qt AS (SELECT doc_id, term, rank FROM ranked WHERE rank <= {PARAMS.max_terms})"""
+  qt AS (SELECT doc_id, term, rank FROM ranked WHERE rank <= {params.max_terms})"""
 
 
-def pairs_sql(seeds: str = SEEDS_SQL, targets: str = TARGETS_SQL) -> str:
-    return TERMS_SQL + f""",
+TERMS_SQL = terms_sql(PARAMS)
+
+
+def pairs_sql(seeds: str = SEEDS_SQL, targets: str = TARGETS_SQL, params: similarity.Params = PARAMS) -> str:
+    return terms_sql(params) + f""",
   seeds AS ({seeds}), targets AS ({targets}),
   sq AS (SELECT q.doc_id AS seed, q.term, count(*) OVER (PARTITION BY q.doc_id) AS k FROM qt q JOIN seeds s ON s.doc_id = q.doc_id),
   post AS (SELECT t.doc_id, t.term FROM tf t JOIN elig e ON e.term = t.term JOIN targets g ON g.doc_id = t.doc_id),
-  selfpairs AS (SELECT sq.seed, p.doc_id FROM sq JOIN post p ON p.term = sq.term WHERE sq.k >= {PARAMS.min_terms}
-    GROUP BY sq.seed, p.doc_id, sq.k HAVING count(*) >= greatest(1, floor(sq.k * {PARAMS.match_share}))),
+  selfpairs AS (SELECT sq.seed, p.doc_id FROM sq JOIN post p ON p.term = sq.term WHERE sq.k >= {params.min_terms}
+    GROUP BY sq.seed, p.doc_id, sq.k HAVING count(*) >= greatest(1, floor(sq.k * {params.match_share}))),
   pairs AS (SELECT seed, doc_id FROM selfpairs WHERE seed <> doc_id)"""
 
 
-def components_sql(seeds: str = SEEDS_SQL, targets: str = TARGETS_SQL) -> str:
-    return pairs_sql(seeds, targets) + """,
+def components_sql(seeds: str = SEEDS_SQL, targets: str = TARGETS_SQL, params: similarity.Params = PARAMS) -> str:
+    return pairs_sql(seeds, targets, params) + """,
   both_ways AS (SELECT seed AS a, doc_id AS b FROM selfpairs UNION SELECT doc_id, seed FROM selfpairs),
   reach(a, b) AS (SELECT a, b FROM both_ways UNION SELECT r.a, w.b FROM reach r JOIN both_ways w ON w.a = r.b),
   members AS (SELECT r.a AS doc_id, min(r.b) AS cluster FROM reach r JOIN targets g ON g.doc_id = r.b GROUP BY r.a),
@@ -91,6 +96,29 @@ def mlt_pairs(spark, sf):
     return similarity.similar_pairs(_index(spark, sf), _seeds(spark, sf), _targets(spark, sf))
 
 
+# The same with the defaults, whose query words may be in any number of texts.
+DEFAULTS = similarity.Params()
+
+
+@query("mlt_terms_default", terms_sql(DEFAULTS) + " SELECT doc_id, term, rank FROM qt")
+def mlt_terms_default(spark, sf):
+    index = _index(spark, sf, DEFAULTS)
+    return index.members.join(similarity.query_table(index), "rep").select("doc_id", "term", F.col("rank").cast("long").alias("rank"))
+
+
+@query(
+    "mlt_match_counts_default",
+    pairs_sql(params=DEFAULTS) + " SELECT p.seed, t.source, count(*) AS n FROM pairs p JOIN targets t ON t.doc_id = p.doc_id GROUP BY 1, 2",
+)
+def mlt_match_counts_default(spark, sf):
+    return similarity.match_totals(_index(spark, sf, DEFAULTS), _seeds(spark, sf), _targets(spark, sf), "source")
+
+
+@query("clusters_default", components_sql(params=DEFAULTS) + " SELECT doc_id, cluster FROM members")
+def clusters_default(spark, sf):
+    return clusters.cluster_members(_index(spark, sf, DEFAULTS), _seeds(spark, sf), _targets(spark, sf))
+
+
 @query(
     "mlt_match_counts",
     pairs_sql() + " SELECT p.seed, t.source, count(*) AS n FROM pairs p JOIN targets t ON t.doc_id = p.doc_id GROUP BY 1, 2",
@@ -179,9 +207,8 @@ def unreviewed(spark, sf):
 _STOP = ", ".join(v.quote(w) for w in NEIGHBOUR_STOP_WORDS)
 
 
-@query(
-    "neighbour_vote",
-    f"""WITH {v.TAGGED}, tok AS (SELECT doc_id, titleii, regexp_extract_all(lower(text_data), {v.WORD_SQL}) AS words FROM tagged),
+def _vote_sql(position: str) -> str:
+    return f"""WITH {v.TAGGED}, tok AS (SELECT doc_id, {position} AS titleii, regexp_extract_all(lower(text_data), {v.WORD_SQL}) AS words FROM tagged),
   b AS (SELECT doc_id, titleii, list_filter({v.english_sql('words')}, lambda w: length(w) >= 3 AND w NOT IN ({_STOP})) AS words FROM tok),
   n AS (SELECT CAST(count(*) AS DOUBLE) AS n, avg(len(words)) AS mean_len FROM b),
   chosen AS (SELECT doc_id, words FROM b WHERE titleii IS NULL ORDER BY md5(concat(CAST(doc_id AS VARCHAR), '7')), doc_id LIMIT 10),
@@ -195,7 +222,20 @@ _STOP = ", ".join(v.quote(w) for w in NEIGHBOUR_STOP_WORDS)
     FROM q JOIN tf ON tf.term = q.term CROSS JOIN n WHERE tf.titleii IS NOT NULL GROUP BY q.seed_id, tf.doc_id, tf.titleii, q.need HAVING count(*) >= q.need),
   k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY seed_id ORDER BY score DESC, doc_id) AS r FROM s) WHERE r <= 10)
   SELECT c.doc_id AS seed_id, CAST(coalesce(sum(CASE WHEN k.titleii THEN 1 WHEN NOT k.titleii THEN -1 END), 0) AS BIGINT) AS votes, count(k.doc_id) AS neighbours
-  FROM chosen c LEFT JOIN k ON k.seed_id = c.doc_id GROUP BY c.doc_id""",
-)
+  FROM chosen c LEFT JOIN k ON k.seed_id = c.doc_id GROUP BY c.doc_id"""
+
+
+@query("neighbour_vote", _vote_sql("titleii"))
 def neighbour_vote(spark, sf):
     return similarity.neighbour_vote(v.tagged(spark, sf), "titleii", "7", min_df=5, match_share=0.5, doc_id="doc_id")
+
+
+@query(
+    "neighbour_vote_manual",
+    _vote_sql("CASE WHEN coalesce(titleii, sentiment_manual) IS NOT NULL THEN coalesce(titleii, false) OR coalesce(sentiment_manual, false) END"),
+)
+def neighbour_vote_manual(spark, sf):
+    """A position that a person gave counts like one found by pattern."""
+    return similarity.neighbour_vote(
+        v.tagged(spark, sf), "titleii", "7", min_df=5, match_share=0.5, doc_id="doc_id", manual="sentiment_manual"
+    )

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from commentlens.operators import enrich, merge, sampling
-from commentlens.operators.annotate import annotate
-from commentlens.plans import daily, report
+from commentlens.operators.annotate import annotate, stance_labels
+from commentlens.plans import daily, report, tagging
+from commentlens.rules import domain
 from commentlens.sources import exports, filings as filing_source, store
 from commentlens.spark_env import scratch_path
 from commentlens.streaming import ingest
 
 from . import views as v
+from .reports import flat_report, full_report_sql
 from .rows import DOCKET_SOURCE, KEYS_SQL
+from .textual import phrases_sql
 
 QUERIES: dict = {}
 SEED = "42"
@@ -106,10 +110,11 @@ URL = "https://example.org/filing/"
 @query(
     "contact_export",
     f"WITH {v.FILINGS}, src AS (SELECT source, doc_id AS d FROM cv), {_CONTACTS} SELECT p.source, p.contact_email AS email, f.filer AS name, "
-    f"strftime(f.date_received, '%Y-%m-%d') AS received, md5(f.text_data) AS comment_md5, concat('{URL}', p.id_submission) AS url "
-    "FROM pick p JOIN filings f ON f.id_submission = p.id_submission WHERE p.pick <= 8 AND f.text_data <> ''",
+    f"strftime(f.date_received, '%Y-%m-%d') AS received, md5(coalesce(f.text_data, '')) AS comment_md5, concat('{URL}', p.id_submission) AS url "
+    "FROM pick p JOIN filings f ON f.id_submission = p.id_submission WHERE p.pick <= 8",
 )
 def contact_export(spark, sf):
+    """All sampled contacts; a missing and an empty comment are both an empty field."""
     rows = v.filings(spark, sf)
     sample = sampling.contact_sample(v.cv(spark, sf), SEED, 8)
     path = scratch_path(spark, "contacts")
@@ -118,8 +123,8 @@ def contact_export(spark, sf):
         spark.read.option("sep", "\t").option("header", True).option("multiLine", True).option("escape", '"')
         .schema("email string, name string, date timestamp, comment string, url string, source string").csv(path)
     )
-    return back.filter(F.col("comment").isNotNull()).select(
-        "source", "email", "name", F.date_format("date", "yyyy-MM-dd").alias("received"), F.md5("comment").alias("comment_md5"), "url"
+    return back.select(
+        "source", "email", "name", F.date_format("date", "yyyy-MM-dd").alias("received"), F.md5(F.coalesce("comment", F.lit(""))).alias("comment_md5"), "url"
     )
 
 
@@ -203,7 +208,9 @@ def read_filings(spark, sf):
 
 @query("docket_filter", f"WITH {v.FILINGS} SELECT id_submission FROM filings WHERE len(list_filter(proceedings, lambda p: coalesce(p['name'] = '17-108', false))) > 0")
 def docket_filter(spark, sf):
-    return v.filings(spark, sf).filter(filing_source.in_docket(F.col("proceedings"), "17-108")).select("id_submission")
+    path = scratch_path(spark, "filings")
+    write_json(v.filings(spark, sf), path)
+    return filing_source.read_filings(spark, path, "17-108").select("id_submission")
 
 
 @query(
@@ -234,6 +241,24 @@ def daily_increment(spark, sf):
     return store.read_comments(spark, target).select("id_submission", F.col("day").cast("string").alias("day"), "analysis.source")
 
 
+@query(
+    "landed_days",
+    f"WITH {v.FILINGS} SELECT id_submission, CAST(CAST(date_disseminated AS DATE) AS VARCHAR) AS day, {DOCKET_SOURCE} AS source FROM filings "
+    f"WHERE CAST(date_disseminated AS DATE) IN (DATE '{_DAY}', DATE '2017-05-11') AND len(list_filter(proceedings, lambda p: coalesce(p['name'] = '17-108', false))) > 0",
+)
+def landed_days(spark, sf):
+    """Raw files landed by day in two batches, one of them twice; two days of a docket are then run."""
+    landing, target = scratch_path(spark, "landing"), scratch_path(spark, "comments")
+    rows = v.filings(spark, sf)
+    for name, part in (("even", "doc_id % 2 = 0"), ("odd", "doc_id % 2 = 1"), ("even", "doc_id % 2 = 0")):
+        path = scratch_path(spark, "filings")
+        write_json(rows.filter(part), path)
+        filing_source.land(spark, path, landing, name)
+    for day in (_DAY, "2017-05-11"):
+        daily.run_day(spark, landing, target, day, docket="17-108", landed=True)
+    return store.read_comments(spark, target).select("id_submission", F.col("day").cast("string").alias("day"), "analysis.source")
+
+
 @query(
     "store_update",
     f"WITH {v.FILINGS} SELECT f.id_submission, {DOCKET_SOURCE} AS source, l.quality = 1 AS sentiment_manual FROM filings f LEFT JOIN labels l ON l.doc_id = f.doc_id",
@@ -248,16 +273,44 @@ def store_update(spark, sf):
     return store.read_comments(spark, target).select("id_submission", "analysis.source", "analysis.sentiment_manual")
 
 
-@query(
-    "report_json",
-    f"WITH {v.TAGGED} SELECT count(*) AS total, count(*) FILTER (WHERE {v.POSITIVE_SQL}) AS total_positive, true AS has_time FROM tagged",
-)
+@query("report_json", full_report_sql() + ", true AS has_time")
 def report_json(spark, sf):
+    """The report as it stands in its file, field by field."""
     path = scratch_path(spark, "report")
     counts = report.by_source(v.tagged(spark, sf), v.REVIEWED, v.tags(), F.col("breached"), F.col("day_seen"))
-    exports.write_report(report.full_report(counts, enrich.catalogue(spark)), path)
-    parsed = spark.read.text(path).select(F.from_json("value", "total bigint, total_positive bigint, updated string").alias("r"))
-    return parsed.select("r.total", "r.total_positive", F.col("r.updated").isNotNull().alias("has_time"))
+    made = report.full_report(counts, enrich.catalogue(spark))
+    exports.write_report(made, path)
+    schema = T.StructType([f if f.name != "latest" else T.StructField("latest", T.StringType()) for f in made.schema.fields])
+    parsed = spark.read.text(path).select(F.from_json("value", schema.add("updated", "string")).alias("r")).select("r.*")
+    return flat_report(parsed).withColumn("has_time", F.lit(True)) if parsed.filter("updated is null").isEmpty() else parsed
+
+
+_UNTAGGED = "source = 'unknown' AND NOT untaggable AND stance IS NULL"
+
+
+@query(
+    "tagging_jobs",
+    phrases_sql({"positive": tagging.PHRASES["positive"], "negative": tagging.PHRASES["negative"]}, 3, "filings", "text_data", v.FILINGS)
+    + f""", a AS (SELECT f.*, {DOCKET_SOURCE} AS source, {v.UNTAGGABLE_SQL} AS untaggable, {v.label_sql(DOCKET_SOURCE, stance_labels())} AS by_source,
+      {v.stance_sql('text_data', domain.SUPPORT_PATTERNS, domain.OPPOSE_PATTERNS)} AS by_text FROM filings f),
+  b AS (SELECT *, coalesce(by_source, by_text) AS stance FROM a),
+  pos AS (SELECT DISTINCT doc_id FROM matched WHERE side = 'positive'), neg AS (SELECT DISTINCT doc_id FROM matched WHERE side = 'negative'),
+  t AS (SELECT b.*, CASE WHEN {_UNTAGGED} AND doc_id IN (SELECT doc_id FROM pos) THEN 'es_terms_positive'
+    WHEN {_UNTAGGED} AND doc_id IN (SELECT doc_id FROM neg) THEN 'es_terms_negative' ELSE source END AS tag FROM b)
+  SELECT t.id_submission, t.tag AS source, CASE WHEN coalesce(t.contact_email, '') <> '' THEN t.contact_email IN (SELECT contact_email FROM cv WHERE breached AND contact_email <> '') END AS breached,
+    l.quality = 1 AS sentiment_manual FROM t LEFT JOIN labels l ON l.doc_id = t.doc_id""",
+)
+def tagging_jobs(spark, sf):
+    """Phrase tags of both sides, breached addresses and manual labels, job after job over one table."""
+    target = scratch_path(spark, "comments")
+    rows = v.filings(spark, sf)
+    daily.ingest(spark, rows.drop("doc_id"), target)
+    for side in ("positive", "negative"):
+        tagging.tag_phrases(spark, target, side)
+    tagging.flag_breaches(spark, target, v.cv(spark, sf).filter("breached").select(F.col("contact_email").alias("email")))
+    labels = v.table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("id_submission"), (F.col("quality") == 1).alias("label"))
+    tagging.label_manually(spark, target, labels)
+    return store.read_comments(spark, target).select("id_submission", "analysis.source", "analysis.breached", "analysis.sentiment_manual")
 
 
 # --- streams ------------------------------------------------------------------------------------
@@ -333,3 +386,45 @@ def stream_late_rows(spark, sf):
     return store.read_comments(spark, target).select(
         "id_submission", F.col("day").cast("string").alias("day"), "analysis.source"
     )
+
+
+_SPAN = 23
+
+
+@query(
+    "stream_volume_by_source",
+    f"WITH {v.FILINGS}, f AS (SELECT *, {v.source_sql(v.RULES)} AS source, {v.stance_sql('text_data', v.SUPPORT, v.OPPOSE)} AS stance FROM filings), "
+    f"g AS (SELECT *, coalesce({v.label_sql('source', v.LABELS)}, stance) AS titleii FROM f) "
+    "SELECT CAST(CAST(date_disseminated AS DATE) AS VARCHAR) AS day, source, CASE WHEN titleii THEN 'positive' WHEN NOT titleii THEN 'negative' ELSE 'none' END AS stance, "
+    "count(*) AS n FROM g WHERE CAST(date_disseminated AS DATE) + INTERVAL 1 DAY <= (SELECT max(date_disseminated) - INTERVAL 50 DAY FROM filings) GROUP BY 1, 2, 3",
+)
+def stream_volume_by_source(spark, sf):
+    """Files in order of time, but a fifth of the filings come a file later than they should."""
+    path, rows = scratch_path(spark, "filings"), v.filings(spark, sf)
+    turn = F.floor(F.datediff("date_received", F.lit("2017-05-01")) / _SPAN) + (F.col("doc_id") % 5 == 0).cast("int")
+    for i in range(90 // _SPAN + 2):
+        write_json(rows.filter(turn == i), f"{path}/part={i}", 1)
+    stream = ingest.filing_stream(spark, f"{path}/*", 1)
+    rules = {"rules": v.RULES, "labels": v.LABELS, "support": v.SUPPORT, "oppose": v.OPPOSE}
+    volume = ingest.volume_by_source(stream, "50 days", **rules)
+    return _run(volume, spark, "volume").select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "source", "stance", "n")
+
+
+@query(
+    "stream_restart",
+    f"WITH {v.FILINGS} SELECT id_submission, CAST(CAST(date_disseminated AS DATE) AS VARCHAR) AS day, {DOCKET_SOURCE} AS source, "
+    "CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 2 END AS run FROM filings "
+    "WHERE len(list_filter(proceedings, lambda p: coalesce(p['name'] = '17-108', false))) > 0",
+)
+def stream_restart(spark, sf):
+    """A stream stops and starts again: what comes a second time was seen before and is not written."""
+    path, target, state = (scratch_path(spark, n) for n in ("filings", "comments", "ingest-state"))
+    rows = v.filings(spark, sf)
+    start = lambda: ingest.upsert_stream(ingest.filing_stream(spark, f"{path}/*", 100, "17-108"), target, state)
+    write_json(rows.filter("doc_id % 2 = 0"), f"{path}/part=1")
+    start().awaitTermination()
+    first = store.read_comments(spark, target).agg(F.max(store.ORDER)).first()[0]
+    write_json(rows, f"{path}/part=2")
+    start().awaitTermination()
+    run = F.when(F.col(store.ORDER) <= F.lit(first), 1).otherwise(2).alias("run")
+    return store.read_comments(spark, target).select("id_submission", F.col("day").cast("string").alias("day"), "analysis.source", run)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from commentlens.functions.text import query_terms
-from commentlens.operators import phrases, postings, ranking, sigterms
+from commentlens.operators import phrases, postings, ranking, sigterms, stemming
+from commentlens.spark_env import scratch_path
 
 from . import views as v
 
@@ -42,6 +43,52 @@ def english_counts(spark, sf):
     return postings.term_counts(docs(spark, sf), "text", english=True)
 
 
+def _porter_sql() -> str:
+    """Stems of ``voc(term)``, step by step. An initial y is written Y: it is never a vowel."""
+    c, vowel = "[^aeiou][^aeiouy]*", "[aeiouy][aeiou]*"
+    matches = lambda w, pattern: f"regexp_matches({w}, '{pattern}')"
+    some = lambda w: matches(w, f"^({c})?{vowel}{c}")
+    more = lambda w: matches(w, f"^({c})?{vowel}{c}{vowel}{c}")
+    one = lambda w: matches(w, f"^({c})?{vowel}{c}({vowel})?$")
+    spoken = lambda w: matches(w, "[aeiouy]")
+    short = lambda w: matches(w, f"^{c}[aeiouy][^aeiouwxy]$")
+    cut = lambda w, n: f"left({w}, length({w}) - {n})"
+
+    def longest(rules: dict, test, w: str = "w", extra=lambda ending, stem: "true") -> str:
+        cases = []
+        for ending in sorted(rules, key=len, reverse=True):
+            stem = cut(w, len(ending))
+            cases.append(f"WHEN ends_with({w}, '{ending}') THEN CASE WHEN {test(stem)} AND {extra(ending, stem)} THEN {stem} || '{rules[ending]}' ELSE {w} END")
+        return f"CASE {' '.join(cases)} ELSE {w} END"
+
+    tail = f"""CASE WHEN ends_with(s, 'at') OR ends_with(s, 'bl') OR ends_with(s, 'iz') THEN s || 'e'
+      WHEN length(s) > 1 AND s[-1] = s[-2] AND {matches('s', '[^aeiouy]$|([aeiou]y|[^aeiouy])(yy)+$')} THEN CASE WHEN s[-1] IN ('l', 's', 'z') THEN s ELSE {cut('s', 1)} END
+      WHEN {one('s')} AND {short('s')} THEN s || 'e' ELSE s END"""
+    ion = lambda ending, stem: matches(stem, "[st]$") if ending == "ion" else "true"
+    step_4 = longest(dict.fromkeys(stemming.STEP_4, ""), more, extra=ion)
+    return f"""p0 AS (SELECT term, CASE WHEN starts_with(term, 'y') THEN 'Y' || substr(term, 2) ELSE term END AS w FROM voc WHERE length(term) > 2),
+      p1 AS (SELECT term, CASE WHEN ends_with(w, 'sses') OR ends_with(w, 'ies') THEN {cut('w', 2)} WHEN ends_with(w, 'ss') THEN w WHEN ends_with(w, 's') THEN {cut('w', 1)} ELSE w END AS w FROM p0),
+      p2 AS (SELECT term, w, CASE WHEN ends_with(w, 'eed') THEN NULL WHEN ends_with(w, 'ed') AND {spoken(cut('w', 2))} THEN {cut('w', 2)}
+        WHEN ends_with(w, 'ing') AND {spoken(cut('w', 3))} THEN {cut('w', 3)} END AS s FROM p1),
+      p3 AS (SELECT term, CASE WHEN ends_with(w, 'eed') THEN CASE WHEN {some(cut('w', 3))} THEN {cut('w', 1)} ELSE w END WHEN s IS NULL THEN w ELSE {tail} END AS w FROM p2),
+      p4 AS (SELECT term, CASE WHEN ends_with(w, 'y') AND {spoken(cut('w', 1))} THEN {cut('w', 1)} || 'i' ELSE w END AS w FROM p3),
+      p5 AS (SELECT term, {longest(stemming.STEP_2, some)} AS w FROM p4),
+      p6 AS (SELECT term, {longest(stemming.STEP_3, some)} AS w FROM p5),
+      p7 AS (SELECT term, {step_4} AS w FROM p6),
+      p8 AS (SELECT term, CASE WHEN ends_with(w, 'e') AND ({more(cut('w', 1))} OR ({one(cut('w', 1))} AND NOT {short(cut('w', 1))})) THEN {cut('w', 1)} ELSE w END AS w FROM p7),
+      p9 AS (SELECT term, CASE WHEN ends_with(w, 'll') AND {more('w')} THEN {cut('w', 1)} ELSE w END AS w FROM p8),
+      stems AS (SELECT term, replace(w, 'Y', 'y') AS stem FROM p9 UNION ALL SELECT term, term FROM voc WHERE length(term) <= 2)"""
+
+
+@query(
+    "english_porter",
+    f"WITH {TOK}, e AS (SELECT doc_id, unnest({v.english_words_sql('words')}) AS term FROM tok), voc AS (SELECT DISTINCT term FROM e), {_porter_sql()} "
+    "SELECT s.stem, count(*) AS occurrences, count(DISTINCT e.doc_id) AS docs FROM e JOIN stems s ON s.term = e.term GROUP BY s.stem",
+)
+def english_porter(spark, sf):
+    return stemming.porter_counts(docs(spark, sf), "doc_id", "text")
+
+
 @query(
     "postings_summary",
     f"WITH {TOK}, s AS (SELECT doc_id, 'standard' AS field, unnest(words) AS term, generate_subscripts(words, 1) - 1 AS pos FROM tok), "
@@ -65,7 +112,7 @@ EXACT = ["tion of the", "on the", "of the and", "it is"]
 SLOPPY = ["the is of", "to be the", "the to the", "de la et", "worthless thing", "und der die", "the that the the"]
 
 
-def _phrase_sql(texts: list[str], slop: int) -> str:
+def _phrase_sql(texts: list[str], slop: int, words: str = "") -> str:
     """Range self-join form. Repeated words need as many different positions as every run of them."""
     rows = []
     for p in texts:
@@ -81,7 +128,7 @@ def _phrase_sql(texts: list[str], slop: int) -> str:
                 for j in range(i + 1, len(spots)):
                     runs.append(f"({v.quote(p)}, {v.quote(term)}, {spots[i]}, {spots[j]}, {j - i + 1})")
     runs = runs or ["('', '', 0, 0, 0)"]
-    return f"""WITH {POST}, {ph}, runs(phrase, term, lo, hi, need) AS (VALUES {', '.join(runs)}),
+    return f"""WITH {words or POST}, {ph}, runs(phrase, term, lo, hi, need) AS (VALUES {', '.join(runs)}),
       hit AS (SELECT p.doc_id, ph.phrase, ph.off, p.pos, p.pos - ph.off AS adj FROM post p JOIN ph ON p.term = ph.term),
       size AS (SELECT phrase, count(*) AS n FROM ph GROUP BY phrase),
       frames AS (SELECT a.doc_id, a.phrase, a.adj FROM (SELECT DISTINCT doc_id, phrase, adj FROM hit) a
@@ -94,6 +141,15 @@ def _phrase_sql(texts: list[str], slop: int) -> str:
         WHERE NOT EXISTS (SELECT 1 FROM bad b WHERE b.doc_id = f.doc_id AND b.phrase = f.phrase AND b.adj = f.adj))"""
 
 
+def phrases_sql(sides: dict[str, list[str]], slop: int, table: str, text: str, before: str) -> str:
+    """``matched(doc_id, phrase, side)`` for the phrases of several sides, over any table of texts."""
+    words = f"""{before}, tok AS (SELECT doc_id, regexp_extract_all(lower({text}), {v.WORD_SQL}) AS words FROM {table}),
+      post AS (SELECT doc_id, unnest(words) AS term, generate_subscripts(words, 1) - 1 AS pos FROM tok)"""
+    of = ", ".join(f"({v.quote(p)}, {v.quote(side)})" for side, texts in sides.items() for p in texts)
+    found = _phrase_sql(list(dict.fromkeys(p for texts in sides.values() for p in texts)), slop, words).replace("matched AS (", "any_side AS (")
+    return f"{found}, sides(phrase, side) AS (VALUES {of}), matched AS (SELECT a.doc_id, a.phrase, s.side FROM any_side a JOIN sides s ON s.phrase = a.phrase)"
+
+
 @query("phrase_exact", _phrase_sql(EXACT, 0) + " SELECT doc_id, phrase FROM matched")
 def phrase_exact(spark, sf):
     return phrases.match_phrases(docs(spark, sf), EXACT, 0, "doc_id", "text")
@@ -104,6 +160,22 @@ def phrase_slop3(spark, sf):
     return phrases.match_phrases(docs(spark, sf), SLOPPY, 3, "doc_id", "text")
 
 
+def _stored_words(spark, sf):
+    path = scratch_path(spark, "words")
+    postings.write_postings(docs(spark, sf), path, "doc_id", "text")
+    return path
+
+
+@query("phrase_postings_exact", _phrase_sql(EXACT, 0) + " SELECT doc_id, phrase FROM matched")
+def phrase_postings_exact(spark, sf):
+    return postings.find_phrases(spark, _stored_words(spark, sf), EXACT, 0)
+
+
+@query("phrase_postings_slop3", _phrase_sql(SLOPPY, 3) + " SELECT doc_id, phrase FROM matched")
+def phrase_postings_slop3(spark, sf):
+    return postings.find_phrases(spark, _stored_words(spark, sf), SLOPPY, 3)
+
+
 @query(
     "phrase_tag",
     _phrase_sql(SLOPPY, 3)

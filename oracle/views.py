@@ -302,3 +302,7 @@ def stem_sql(word: str) -> str:
 
 def english_sql(tokens: str) -> str:
     return f"list_transform(list_filter({tokens}, lambda w: w NOT IN ({_STOP_SQL})), lambda w: {stem_sql('w')})"
+
+
+def english_words_sql(tokens: str) -> str:
+    return f"list_transform(list_filter({tokens}, lambda w: w NOT IN ({_STOP_SQL})), lambda w: regexp_replace(w, '[''’]s?$', ''))"

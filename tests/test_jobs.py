@@ -161,7 +161,7 @@ def test_read_filings_shapes(spark, tmp_path):
 def test_store_moves_rows_between_days_and_is_idempotent(spark, tmp_path):
     table = str(tmp_path / "table")
     make = lambda *rows: spark.createDataFrame([(i, t, d) for i, t, d in rows], "id_submission string, text_data string, date_disseminated string").withColumn("date_disseminated", F.to_timestamp("date_disseminated"))
-    show = lambda: sorted((r.id_submission, r.text_data, str(r.day)) for r in spark.read.parquet(table).collect())
+    show = lambda: sorted((r.id_submission, r.text_data, str(r.day)) for r in store.read_comments(spark, table, None).collect())
     daily.ingest(spark, make(("1", "one", "2017-05-01"), ("2", "two", "2017-05-02"), ("3", "three", "2017-05-02")), table)
     change = make(("1", "uno", "2017-05-03"), ("2", "due", "2017-05-02"), ("4", "quattro", None))
     for _ in range(2):
@@ -172,10 +172,10 @@ def test_store_moves_rows_between_days_and_is_idempotent(spark, tmp_path):
 
 
 def test_jobs_leave_no_intermediate_tables(spark, tmp_path):
-    left = lambda: {p.name for p in Path(shared_dir(spark).removeprefix("file:")).glob("*") if p.name.startswith(("incoming-", "merged-", "patch-"))}
+    left = lambda: {p.name for p in Path(shared_dir(spark).removeprefix("file:")).glob("*") if p.name.startswith(("incoming-", "places-", "patch-"))}
     before, table = left(), str(tmp_path / "table")
     rows = spark.createDataFrame([("1", "one"), ("2", "two")], "id_submission string, text_data string").withColumn("date_disseminated", F.to_timestamp(F.lit("2017-05-01")))
     for _ in range(2):
         daily.ingest(spark, rows, table)
     daily.reannotate(spark, table)
-    assert left() == before and spark.read.parquet(table).count() == 2
+    assert left() == before and store.read_comments(spark, table, None).count() == 2

@@ -25,7 +25,7 @@ def table(spark, tmp_path):
 
 
 def _leaf(spark, table, leaf):
-    return {r[0]: r[1] for r in spark.read.parquet(table).select("id_submission", f"analysis.{leaf}").collect()}
+    return {r[0]: r[1] for r in store.read_comments(spark, table, None).select("id_submission", f"analysis.{leaf}").collect()}
 
 
 def test_phrase_jobs(spark, table):
@@ -62,7 +62,7 @@ def test_cluster_job(spark, tmp_path):
 
 
 def test_window_reads_only_its_days(spark, table):
-    rows = tagging.in_window(spark.read.parquet(table), "2017-05-02", "2017-05-03")
+    rows = tagging.in_window(store.read_comments(spark, table, None), "2017-05-02", "2017-05-03")
     assert sorted(r[0] for r in rows.select(store.KEY).collect()) == ["2", "3"]
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: []" not in plan and "PartitionFilters: [" in plan
