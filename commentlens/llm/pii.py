@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -124,16 +126,10 @@ def found_in(text: str | None) -> tuple[list[Span], list[tuple]]:
         return [], []
     base = base_spans(text)
     taken = sorted((s, e) for _, s, e in base)
+    starts, reach = [s for s, _ in taken], [0, *accumulate((e for _, e in taken), max)]
     loose = sorted({c for c in loose_spans(text)}, key=lambda c: (c[1], c[2], c[0]))
-    out, at, reach = [], 0, 0
-    for c in loose:
-        while at < len(taken) and taken[at][0] < c[2]:
-            reach = max(reach, taken[at][1])
-            at += 1
-        # Spans that begin later than a candidate's end were not passed; earlier ones reach so far.
-        if reach <= c[1]:
-            out.append((*c, features(text, c)))
-    return base, out
+    # Of the exact spans that begin before a candidate's end, none may reach past its start.
+    return base, [(*c, features(text, c)) for c in loose if reach[bisect_left(starts, c[2])] <= c[1]]
 
 
 @lru_cache(maxsize=1)

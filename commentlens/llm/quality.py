@@ -12,10 +12,11 @@ from .common import WHITE_SPACE, inputs, table
 
 MIN_WORDS = 50
 SYMBOLS = "#*$%&|<>"
-# Measures per thousand, with the least spread that a fence allows for, where most documents of a
-# group have the same value.
-MEASURES = {"symbols": 30, "repeats": 100, "lines": 200, "capitals": 60}
-STEPS = 3
+# Measures per thousand, and what they are a share of.
+MEASURES = {"symbols": "n_words", "repeats": "n_words", "lines": "n_lines", "capitals": "word_chars"}
+SKETCHED = (*MEASURES, *dict.fromkeys(MEASURES.values()))
+# A fence's distance from the upper quantile, in distances between that and the median.
+STEPS = 12
 # Sketch bins: exact below 32, then 16 bins for each doubling.
 EXACT_BITS = 5
 MIN_GROUP = 100
@@ -88,7 +89,7 @@ def measured(docs: DataFrame) -> DataFrame:
 
 def sketches(measures: DataFrame) -> DataFrame:
     """``lang, source, measure, low, n``: a count per bin. Sketches of parts add up to the whole's."""
-    named = F.array(*(F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in MEASURES))
+    named = F.array(*(F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in SKETCHED))
     each = measures.filter(~F.col("base_failed")).select("lang", "source", F.inline(named))
     return each.select("lang", "source", "measure", bin_low("value").alias("low")).groupBy(
         "lang", "source", "measure", "low"
@@ -104,9 +105,11 @@ def bin_low(value: str) -> Column:
 def fences(sketch: DataFrame) -> DataFrame:
     """``level, lang, source`` and the upper fence of each measure.
 
-    A fence is the upper quartile plus ``STEPS`` times the distance of the quartiles, or times the
-    measure's least spread where that is larger. Groups of fewer than ``MIN_GROUP`` documents
-    have none of their own; merged sketches of the language, then of everything, stand in.
+    Everything in it comes from the group's sketch: a fence is the 7/8 quantile plus ``STEPS`` times
+    its distance from the median. Where most documents have the same value, one event in a document
+    of median size is the distance instead. Up to an eighth of a group may be junk without moving
+    the fence. Groups of fewer than ``MIN_GROUP`` documents have none of their own; merged sketches
+    of the language, then of everything, stand in.
     """
     none = F.lit(None).cast("string")
     levels = (
@@ -120,16 +123,18 @@ def fences(sketch: DataFrame) -> DataFrame:
     ranked = merged.select(
         *keys, "low", F.sum("n").over(group).alias("total"), F.sum("n").over(group.orderBy("low")).alias("upto")
     ).filter((F.col("total") >= MIN_GROUP) | (F.col("level") == "all"))
-    quartiles = ranked.groupBy(*keys).agg(
-        F.min(F.when(4 * F.col("upto") >= F.col("total"), F.col("low"))).alias("q1"),
-        F.min(F.when(4 * F.col("upto") >= 3 * F.col("total"), F.col("low"))).alias("q3"),
+    quantiles = ranked.groupBy(*keys).agg(
+        F.min(F.when(2 * F.col("upto") >= F.col("total"), F.col("low"))).alias("middle"),
+        F.min(F.when(8 * F.col("upto") >= 7 * F.col("total"), F.col("low"))).alias("upper"),
         F.max("total").alias("n"),
     )
-    least = F.create_map(*(F.lit(x) for pair in MEASURES.items() for x in pair))
-    high = F.col("q3") + STEPS * F.greatest(F.col("q3") - F.col("q1"), least[F.col("measure")])
-    return quartiles.groupBy("level", "lang", "source").agg(
-        *(F.max(F.when(F.col("measure") == m, high)).alias(f"max_{m}") for m in MEASURES), F.max("n").alias("n")
-    )
+    of = lambda name, column: F.max(F.when(F.col("measure") == name, F.col(column)))
+
+    def fence(measure: str, whole: str) -> Column:
+        event = F.ceil(F.lit(1000) / F.greatest(of(whole, "middle"), F.lit(1)))
+        return (of(measure, "upper") + STEPS * F.greatest(of(measure, "upper") - of(measure, "middle"), event)).alias(f"max_{measure}")
+
+    return quantiles.groupBy("level", "lang", "source").agg(*(fence(m, w) for m, w in MEASURES.items()), F.max("n").alias("n"))
 
 
 def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -172,12 +177,16 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sql() -> str:
     shift = f"greatest(length(bin(v)) - {EXACT_BITS}, 0)"
-    unpivot = " union all ".join(f"select lang, source, '{m}' as measure, {m} as v from m where not base_failed" for m in MEASURES)
+    unpivot = " union all ".join(f"select lang, source, '{m}' as measure, {m} as v from m where not base_failed" for m in SKETCHED)
     levels = " union all ".join(
         f"select '{level}' as level, {lang}, {source}, measure, v from u"
         for level, lang, source in (("source", "lang", "source"), ("lang", "lang", "null as source"), ("all", "null as lang", "null as source"))
     )
-    least = "case measure " + " ".join(f"when '{m}' then {v}" for m, v in MEASURES.items()) + " end"
+    highs = " union all ".join(
+        f"select a.level, a.lang, a.source, '{m}' as measure, a.q3 + {STEPS} * greatest(a.q3 - a.q2, cast(ceil(1000 / greatest(b.q2, 1)) as bigint)) as high "
+        f"from q a join q b on a.level = b.level and a.lang is not distinct from b.lang and a.source is not distinct from b.source "
+        f"where a.measure = '{m}' and b.measure = '{w}' and (a.n >= {MIN_GROUP} or a.level = 'all')" for m, w in MEASURES.items()
+    )
     tests = " and ".join(
         f"{m} <= coalesce((select f.high from fence f where f.level = 'source' and f.measure = '{m}' and f.lang is not distinct from m.lang and f.source is not distinct from m.source),"
         f" (select f.high from fence f where f.level = 'lang' and f.measure = '{m}' and f.lang is not distinct from m.lang),"
@@ -200,8 +209,8 @@ m as (select *, n_words < {MIN_WORDS} or 100 * n_repeat_words > 50 * n_words as
 raw as ({unpivot}),
 u as (select lang, source, measure, (v >> {shift}) << {shift} as v from raw),
 lv as ({levels}),
-q as (select level, lang, source, measure, count(*) as n, quantile_disc(v, 0.25) as q1, quantile_disc(v, 0.75) as q3 from lv group by all),
-fence as (select *, q3 + {STEPS} * greatest(q3 - q1, {least}) as high from q where n >= {MIN_GROUP} or level = 'all')
+q as (select level, lang, source, measure, count(*) as n, quantile_disc(v, 0.5) as q2, quantile_disc(v, 0.875) as q3 from lv group by all),
+fence as ({highs})
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and {tests} as kept from m
 """
 

@@ -35,7 +35,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are plain text
+        # Tokens that the file adds stand for themselves in a text; the library finds them.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 2**16 else np.dtype("<u4")
         self.model = self.tokenizer.model
         self.code = "H" if self.dtype.itemsize == 2 else "I"
@@ -50,7 +51,8 @@ class Encoder:
 
     def texts(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text and the end id."""
-        cut = [self._words(t) if t and self.by_bytes and not any(o in t for o in _ODD_SPACE) else None for t in texts]
+        plain = lambda t: not any(o in t for o in _ODD_SPACE) and not any(a in t for a in self.added)
+        cut = [self._words(t) if t and self.by_bytes and plain(t) else None for t in texts]
         seen = {p for parts in cut if parts for p in parts}
         new = seen.difference(self.known)
         if len(self.known) + len(new) > self.memory:

@@ -7,6 +7,7 @@ import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from commentlens.llm import decontaminate, licenses, line_dedup, ngram_join, packing, pii, quality, queries, sharding, token_index, url_filter
@@ -139,14 +140,14 @@ def test_derived_links():
 
 def test_tokens_equal_the_librarys():
     encoder = Encoder(public_tokenizer(), memory=50)
-    odd = ["a  b", "\n x", " \n  y\t z\x0b w", "x\x85 y", " lead", "trail ", " ", "", "\n", "a\n's b", "it's 'll", "<|endoftext|> a", "\r\n a", "1\n2 3.4", "a\x1c b"]
+    odd = ["a  b", "\n x", " \n  y\t z\x0b w", "x\x85 y", " lead", "trail ", " ", "", "\n", "a\n's b", "it's 'll", "<|endoftext|> a", "<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|>b.", "\r\n a", "1\n2 3.4", "a\x1c b"]
     texts = [*odd, *(r[1] or "" for r in ROWS)]
     for text, ids in zip(texts, encoder.texts(texts)):
-        assert ids.tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 0], text
+        assert ids.tolist() == _ids(text), text
 
 
 def _ids(text):
-    return [*Encoder(public_tokenizer()).tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+    return [*Tokenizer.from_file(public_tokenizer()).encode(text or "", add_special_tokens=False).ids, 0]
 
 
 def test_packing(spark, docs, no_docs):
@@ -295,6 +296,38 @@ def test_quality_sketches_merge(spark):
     assert sorted(map(str, quality.fences(parts).orderBy(*key).collect())) == sorted(map(str, quality.fences(whole).orderBy(*key).collect()))
 
 
+def test_quality_fences_follow_their_group(spark):
+    """Two sources with other habits get other fences, and the same document another verdict."""
+    plain = [f"word{i} " * 1 + " ".join(f"w{(i * 7 + k) % 900}x{k}" for k in range(80)) for i in range(150)]
+    rows = [(i, t, "en", "plain") for i, t in enumerate(plain)]
+    rows += [(1_000 + i, t + " #" * (20 + i % 20), "en", "symbols") for i, t in enumerate(plain)]
+    rows += [(5_000, plain[0] + " #" * 30, "en", "plain"), (5_001, plain[0] + " #" * 30, "en", "symbols"), (5_001, plain[0] + " #" * 30, "en", "symbols")]
+    rows += [(6_000, plain[0], "en", "small"), (6_001, plain[0] + " #" * 75, "en", "small")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = {(r.level, r.source): r.max_symbols for r in quality.fences(quality.sketches(quality.measured(table))).collect()}
+    assert found["source", "plain"] < 300 < found["source", "symbols"] and ("source", "small") not in found
+    kept = {r.doc_id: r.kept for r in quality.judge(table).collect()}
+    assert not kept[5_000] and kept[5_001] and all(kept[i] and kept[1_000 + i] for i in range(150)) and kept[6_000]
+
+
+def test_quality_value_on_the_fence(spark):
+    names = ["doc_id", *quality.SKETCHED, "lang", "source", "base_failed"]
+    rows = [(i, i % 2, 0, 0, 0, 100, 10, 500, "en", "s", False) for i in range(200)]
+    limits = quality.fences(quality.sketches(spark.createDataFrame(rows, names))).filter("level = 'source'").first()
+    assert limits.max_symbols == 1 + quality.STEPS * 10  # one event in 100 words is 10 per thousand
+    edge = [(900 + j, limits.max_symbols + j, 0, 0, 0, 100, 10, 500, "en", "s", False) for j in (0, 1)]
+    kept = {r.doc_id: r.kept for r in quality.with_fences(spark.createDataFrame(rows + edge, names)).collect()}
+    assert kept[900] and not kept[901]
+
+
+def test_pii_candidates_beside_longer_ones():
+    """A candidate that ends far behind the next one's end hides no exact span from either."""
+    text = "x.2125550187[at]10.20.30.40 call"
+    base, loose = pii.found_in(text)
+    plain = [c for c in set(pii.loose_spans(text)) if all(c[2] <= s or e <= c[1] for _, s, e in base)]
+    assert sorted(c[:3] for c in loose) == sorted(plain) and plain
+
+
 def test_pii_spans():
     text = "x a.b@c.de_f@g.org 1.2.3.4 1.2.3.256 y 4111 1111 1111 1111 +1 (262) 555-7240. @ +1 2 " + "9" * 5_000
     spans = {(pii.KINDS[k], text[s:e]) for k, s, e in pii.base_spans(text)}

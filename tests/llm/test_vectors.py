@@ -112,7 +112,7 @@ def test_hadamard_is_orthogonal():
 
 
 def _clustered(rows, k, d, rounds, scale, seed):
-    kept = [(i, [math.floor(scale * float(np.float32(x))) for x in v]) for i, v, _ in rows if _good(list(v or []) + [1.0]) and len(v) == d]
+    kept = [(i, [math.floor(scale * float(np.float32(x))) for x in v]) for i, v, _ in rows if v is not None and len(v) == d and _good([*v, 1.0])]
     name = lambda i: hashlib.sha256(f"{seed}:{'' if i is None else i}".encode()).hexdigest()
     centres = [list(x) for _, x in sorted(kept, key=lambda r: (name(r[0]), r[1]))[:k]]
     gap = lambda x, c: sum((a - b) ** 2 for a, b in zip(x, c))
