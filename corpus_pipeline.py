@@ -14,15 +14,21 @@ from commentlens.spark_env import scratch_path
 WORDS, PERCENT = 5, 80
 
 
-def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Whole rows of the named documents; a missing id is a name too."""
-    names = ids.select(F.col("doc_id").alias("_named")).distinct().hint("merge")
-    return docs.join(names, docs["doc_id"].eqNullSafe(F.col("_named")), "left_semi")
+def _named(docs: DataFrame) -> DataFrame:
+    """Rows with a name by id and text: rows that share an id, or have none, are decided one by one."""
+    return docs.withColumn("_name", F.xxhash64("doc_id", "text"))
+
+
+def _keep(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Whole rows whose ``key`` is among ``ids.doc_id``; a missing id is a name too."""
+    names = ids.select(F.col("doc_id").alias("_kept")).distinct().hint("merge")
+    return docs.join(names, docs[key].eqNullSafe(F.col("_kept")), "left_semi").drop("_name")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the fences of their language and source."""
-    return _keep(docs, quality.judge(docs).filter("kept"))
+    rows = _named(docs)
+    return _keep(rows, quality.judge(rows, "_name").filter("kept"), "_name")
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +47,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item stands."""
-    return _keep(docs, decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).filter("not contaminated"))
+    rows = _named(docs)
+    clean = decontaminate.contamination(rows, table(spark, sf_dir, "benchmark"), doc_id="_name").filter("not contaminated")
+    return _keep(rows, clean, "_name")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
