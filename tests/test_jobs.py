@@ -179,3 +179,25 @@ def test_jobs_leave_no_intermediate_tables(spark, tmp_path):
         daily.ingest(spark, rows, table)
     daily.reannotate(spark, table)
     assert left() == before and store.read_comments(spark, table, None).count() == 2
+
+
+def test_variants_of_a_template_are_not_compared_pairwise(spark, monkeypatch):
+    """Each variant has words of its own and shares the rest: one cluster, from a few checks per text."""
+    rng = random.Random(5)
+    count, shared = 1500, [f"word{i}" for i in range(60)]
+    rows = [(i, " ".join(shared + rng.sample([f"name{j}" for j in range(300)], 6))) for i in range(count)]
+    rows += [(5_000 + i, " ".join(rng.sample([f"other{j}" for j in range(500)], 60))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    index = similarity.build_index(docs, similarity.Params(min_df=5), "doc_id", "text")
+    compared, real = [], similarity.checked
+
+    def checked(candidates, queries, shapes):
+        kept = candidates.cache()
+        compared.append(kept.count())
+        return real(kept, queries, shapes)
+
+    monkeypatch.setattr(similarity, "checked", checked)
+    ids = docs.select("doc_id")
+    got = {r.doc_id: r.cluster for r in clusters.cluster_members(index, ids, ids).collect()}
+    assert {got[i] for i in range(count)} == {0} and all(got[5_000 + i] == 5_000 + i for i in range(40) if 5_000 + i in got)
+    assert len(compared) == 2 and sum(compared) < 20 * count, compared
