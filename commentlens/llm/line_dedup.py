@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,8 @@ MIN_CHARS = 40
 MIN_DOCS = 5
 BATCHES = 4
 FANOUT = 3
-BUCKETS = 16
+# Least number of buckets, and lines that a bucket is meant for: some 50 MB of keys.
+BUCKETS, BUCKET_LINES = 16, 1_000_000
 
 
 def line_key(line: Column) -> Column:
@@ -88,6 +90,12 @@ class LineRuns:
         self.levels = []
 
 
+def buckets_for(spark: SparkSession, n_lines: int) -> int:
+    """Buckets of every run over ``n_lines``: they grow with the lines, up to what the session allows."""
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    return min(most, max(BUCKETS, math.ceil(n_lines / BUCKET_LINES)))
+
+
 def keyed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """``id, row, at, key`` for every line long enough: its document, row, place and key hash."""
     lines = docs.select(
@@ -106,19 +114,20 @@ def shared_lines(lines: DataFrame, min_docs: int = MIN_DOCS, batches: int = BATC
     """
     edges = lines.approxQuantile("id", [i / batches for i in range(1, batches)], 0.02)
     edges = sorted({int(e) for e in edges})
-    runs = LineRuns(lines.sparkSession)
-    for low, high in reversed(list(zip([None, *edges], [*edges, None]))):
-        batch = lines
-        if low is not None:
-            batch = batch.filter(F.col("id") >= low)
-        if high is not None:
-            batch = batch.filter(F.col("id") < high)
-        once = batch.groupBy("key", "id").agg(F.lit(1).alias("one"))
-        counted = once.groupBy("key").agg(F.count(F.lit(1)).alias("n_docs"), F.max("id").alias("keep"))
-        runs.add(materialize(counted, "line-batch"))
-    found = materialize(runs.totals().filter(F.col("n_docs") >= min_docs), "line-shared")
-    runs.close()
-    return found
+    runs = LineRuns(lines.sparkSession, buckets=buckets_for(lines.sparkSession, lines.count()))
+    try:
+        for low, high in reversed(list(zip([None, *edges], [*edges, None]))):
+            batch = lines
+            if low is not None:
+                batch = batch.filter(F.col("id") >= low)
+            if high is not None:
+                batch = batch.filter(F.col("id") < high)
+            once = batch.groupBy("key", "id").agg(F.lit(1).alias("one"))
+            counted = once.groupBy("key").agg(F.count(F.lit(1)).alias("n_docs"), F.max("id").alias("keep"))
+            runs.add(materialize(counted, "line-batch"))
+        return materialize(runs.totals().filter(F.col("n_docs") >= min_docs), "line-shared")
+    finally:
+        runs.close()
 
 
 def drop_shared_lines(

