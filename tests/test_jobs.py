@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from commentlens.functions.predicates import Tags
-from commentlens.operators import clusters, merge, sampling, similarity
+from commentlens.operators import blocks, clusters, merge, sampling, similarity
 from commentlens.operators.skew import lookup
 from commentlens.plans import daily
 from commentlens.sources import filings, store
@@ -71,6 +71,28 @@ def test_pairs_against_brute_force(spark, sample):
     assert {tuple(r) for r in similarity.similar_pairs(split, ids, ids).collect()} == expected
 
 
+def test_blocks_against_brute_force(spark):
+    """Candidates are neither joined nor shuffled; blocks of any size give the same pairs."""
+    rng = random.Random(5)
+    held = {f"s{i}": sorted(rng.sample(range(60), rng.randrange(1, 30))) for i in range(80)}
+    asked = {f"q{i}": sorted(rng.sample(range(60), rng.randrange(1, 12))) for i in range(50)}
+    need = {q: max(1, int(0.6 * len(w))) for q, w in asked.items()}
+    shapes = spark.createDataFrame([(s.encode(), [(w, 1) for w in ws], s[-1].encode()) for s, ws in held.items()], "shape binary, words array<struct<number:long,nd:long>>, comp binary")
+    rows = []
+    for q, ws in asked.items():
+        hits = min(3, need[q])
+        rows.append((q.encode(), ws, need[q], hits, [(1, w) for w in rng.sample(ws, len(ws) - need[q] + hits)], q[-1].encode()))
+    queries = spark.createDataFrame(rows, "query_id binary, numbers array<long>, need int, hits int, probes array<struct<nd:long,number:long>>, comp binary")
+    expected = {(q, s) for q, ws in asked.items() for s, held_words in held.items() if len(set(ws) & set(held_words)) >= need[q]}
+    assert expected
+    for size in (7, 200, 10**6):
+        found = blocks.matches(queries.drop("comp"), shapes.drop("comp"), size)
+        assert sorted((bytes(r[0]).decode(), bytes(r[1]).decode()) for r in found.collect()) == sorted(expected)
+        assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    apart = blocks.matches(queries, shapes, 200).collect()
+    assert sorted((bytes(r[0]).decode(), bytes(r[1]).decode()) for r in apart) == sorted((q, s) for q, s in expected if q[-1] != s[-1])
+
+
 def test_rows_and_partitions_do_not_matter(spark, sample):
     ids = sample.select("doc_id")
     first = similarity.similar_pairs(_index(sample), ids, ids)
