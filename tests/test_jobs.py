@@ -12,6 +12,7 @@ from commentlens.operators.skew import lookup
 from commentlens.plans import daily
 from commentlens.sources import filings, store
 from commentlens.spark_env import shared_dir
+from oracle import storage, textual
 
 DOCS = "/root/testdata/sf0.001/documents.parquet"
 
@@ -223,3 +224,32 @@ def test_variants_of_a_template_are_not_compared_pairwise(spark, monkeypatch):
     got = {r.doc_id: r.cluster for r in clusters.cluster_members(index, ids, ids).collect()}
     assert {got[i] for i in range(count)} == {0} and all(got[5_000 + i] == 5_000 + i for i in range(40) if 5_000 + i in got)
     assert len(compared) == 2 and sum(compared) < 20 * count, compared
+
+
+@pytest.fixture()
+def documents(spark, tmp_path):
+    rows = [(i, f"some words of text {i} and some more words", "en", f"src{i % 3}", 40) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(20).write.parquet(str(tmp_path / "documents.parquet"))
+    return str(tmp_path)
+
+
+def test_postings_summary_shuffles_texts_only(spark, documents):
+    summary = textual.postings_summary(spark, documents)
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    rows = summary.collect()
+    assert len(rows) == 800 and {(r.words, r.terms, r.last_pos) for r in rows if r.field == "standard"} == {(9, 7, 8)}
+
+
+def test_files_grow_with_the_input(spark, documents):
+    """The reader makes a split of each file here; the filings must not come down to four files."""
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    assert storage.file_count(spark, documents) % 4 == 0
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        splits = spark.read.parquet(f"{documents}/documents.parquet").rdd.getNumPartitions()
+        assert splits >= 20
+        assert splits <= storage.file_count(spark, documents) < splits + 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
