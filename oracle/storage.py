@@ -172,7 +172,13 @@ def reannotate(spark, sf):
 
 
 # --- files --------------------------------------------------------------------------------------
-def write_json(rows, path: str, files: int = 4) -> None:
+def file_count(spark, sf: str, parts: int = 4) -> int:
+    """Files to write: ``parts`` of a small table, and so many times more of a larger one that a file stays
+    about as large as a split of the input."""
+    return parts * -(-spark.read.parquet(f"{sf}/documents.parquet").rdd.getNumPartitions() // parts)
+
+
+def write_json(rows, path: str, files: int) -> None:
     """Filings as JSON lines with fields outside the whitelist; every other address is an object."""
     names = [c for c in rows.columns if c not in ("doc_id", "addressentity")]
     extra = F.struct(F.lit(30).alias("id"), F.lit("DISSEMINATED").alias("description")).alias("filingstatus")
@@ -191,7 +197,7 @@ def write_json(rows, path: str, files: int = 4) -> None:
 )
 def read_filings(spark, sf):
     path = scratch_path(spark, "filings")
-    write_json(v.filings(spark, sf), path)
+    write_json(v.filings(spark, sf), path, file_count(spark, sf))
     first = F.get("addressentity", F.lit(0))
     return filing_source.read_filings(spark, path).select(
         "id_submission",
@@ -209,7 +215,7 @@ def read_filings(spark, sf):
 @query("docket_filter", f"WITH {v.FILINGS} SELECT id_submission FROM filings WHERE len(list_filter(proceedings, lambda p: coalesce(p['name'] = '17-108', false))) > 0")
 def docket_filter(spark, sf):
     path = scratch_path(spark, "filings")
-    write_json(v.filings(spark, sf), path)
+    write_json(v.filings(spark, sf), path, file_count(spark, sf))
     return filing_source.read_filings(spark, path, "17-108").select("id_submission")
 
 
@@ -234,7 +240,7 @@ def daily_increment(spark, sf):
     """Half of the filings are stored already; one day is then run from the files, twice."""
     path, target = scratch_path(spark, "filings"), scratch_path(spark, "comments")
     rows = v.filings(spark, sf)
-    write_json(rows, path)
+    write_json(rows, path, file_count(spark, sf))
     daily.ingest(spark, filing_source.read_filings(spark, path).join(rows.filter("doc_id % 2 = 0").select("id_submission"), "id_submission", "left_semi"), target)
     daily.run_day(spark, path, target, _DAY)
     daily.run_day(spark, path, target, _DAY)
@@ -252,7 +258,7 @@ def landed_days(spark, sf):
     rows = v.filings(spark, sf)
     for name, part in (("even", "doc_id % 2 = 0"), ("odd", "doc_id % 2 = 1"), ("even", "doc_id % 2 = 0")):
         path = scratch_path(spark, "filings")
-        write_json(rows.filter(part), path)
+        write_json(rows.filter(part), path, file_count(spark, sf))
         filing_source.land(spark, path, landing, name)
     for day in (_DAY, "2017-05-11"):
         daily.run_day(spark, landing, target, day, docket="17-108", landed=True)
@@ -355,8 +361,10 @@ def stream_dedupe(spark, sf):
 )
 def stream_upsert(spark, sf):
     path, target = scratch_path(spark, "filings"), scratch_path(spark, "comments")
-    write_json(v.filings(spark, sf), path)
-    ingest.upsert_stream(ingest.filing_stream(spark, path, 2), target, scratch_path(spark, "ingest-state")).awaitTermination()
+    files = file_count(spark, sf)
+    write_json(v.filings(spark, sf), path, files)
+    # Two batches at any size.
+    ingest.upsert_stream(ingest.filing_stream(spark, path, files // 2), target, scratch_path(spark, "ingest-state")).awaitTermination()
     return store.read_comments(spark, target).select(
         "id_submission", F.col("day").cast("string").alias("day"), "analysis.source", "analysis.words"
     )
@@ -373,7 +381,7 @@ def stream_late_rows(spark, sf):
     first, second, target = (scratch_path(spark, n) for n in ("filings", "filings", "comments"))
     state = scratch_path(spark, "ingest-state")
     rows = v.filings(spark, sf)
-    write_json(rows, first)
+    write_json(rows, first, file_count(spark, sf))
     ingest.upsert_stream(ingest.filing_stream(spark, first), target, state).awaitTermination()
     late = rows.filter("doc_id % 3 = 0").withColumns(
         {
@@ -381,7 +389,7 @@ def stream_late_rows(spark, sf):
             "date_disseminated": F.col("date_disseminated") + F.expr("interval 1 day"),
         }
     )
-    write_json(late, second)
+    write_json(late, second, file_count(spark, sf))
     ingest.upsert_stream(ingest.filing_stream(spark, second), target, scratch_path(spark, "ingest-state")).awaitTermination()
     return store.read_comments(spark, target).select(
         "id_submission", F.col("day").cast("string").alias("day"), "analysis.source"
@@ -402,9 +410,11 @@ def stream_volume_by_source(spark, sf):
     """Files in order of time, but a fifth of the filings come a file later than they should."""
     path, rows = scratch_path(spark, "filings"), v.filings(spark, sf)
     turn = F.floor(F.datediff("date_received", F.lit("2017-05-01")) / _SPAN) + (F.col("doc_id") % 5 == 0).cast("int")
+    # The files of a turn make one batch, at any size.
+    files = file_count(spark, sf) // 4
     for i in range(90 // _SPAN + 2):
-        write_json(rows.filter(turn == i), f"{path}/part={i}", 1)
-    stream = ingest.filing_stream(spark, f"{path}/*", 1)
+        write_json(rows.filter(turn == i), f"{path}/part={i}", files)
+    stream = ingest.filing_stream(spark, f"{path}/*", files)
     rules = {"rules": v.RULES, "labels": v.LABELS, "support": v.SUPPORT, "oppose": v.OPPOSE}
     volume = ingest.volume_by_source(stream, "50 days", **rules)
     return _run(volume, spark, "volume").select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "source", "stance", "n")
@@ -421,10 +431,10 @@ def stream_restart(spark, sf):
     path, target, state = (scratch_path(spark, n) for n in ("filings", "comments", "ingest-state"))
     rows = v.filings(spark, sf)
     start = lambda: ingest.upsert_stream(ingest.filing_stream(spark, f"{path}/*", 100, "17-108"), target, state)
-    write_json(rows.filter("doc_id % 2 = 0"), f"{path}/part=1")
+    write_json(rows.filter("doc_id % 2 = 0"), f"{path}/part=1", file_count(spark, sf))
     start().awaitTermination()
     first = store.read_comments(spark, target).agg(F.max(store.ORDER)).first()[0]
-    write_json(rows, f"{path}/part=2")
+    write_json(rows, f"{path}/part=2", file_count(spark, sf))
     start().awaitTermination()
     run = F.when(F.col(store.ORDER) <= F.lit(first), 1).otherwise(2).alias("run")
     return store.read_comments(spark, target).select("id_submission", F.col("day").cast("string").alias("day"), "analysis.source", run)
