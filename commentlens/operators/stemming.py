@@ -1,22 +1,26 @@
 """Porter stems (Porter, 1980, with the two later changes of its author), for a whole vocabulary.
 
 The rules cannot be written as a column expression of bearable size, so they run as an Arrow
-function, but on distinct words only; the stems are then joined back. The light stemmer in
-``functions.text`` needs neither and stays the default.
+function, on the distinct words of a batch of texts; a worker remembers the stems of many words. The
+light stemmer in ``functions.text`` does without and stays the default.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import english_words, tokens
+from ..functions.text import counted, english_words, tokens
 from ..spark_env import ship_package
-from .skew import lookup
+
+# Words whose stems a worker remembers.
+REMEMBERED = 400_000
 
 # The suffixes of the published rules, with what takes their place.
 STEP_2 = {
@@ -90,6 +94,9 @@ def porter(word: str) -> str:
     return word[:-1] if word.endswith("ll") and _measure(word) > 1 else word
 
 
+_remembered = lru_cache(REMEMBERED)(porter)
+
+
 def _stems(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for words in batches:
         yield words.map(porter, na_action="ignore")
@@ -101,11 +108,29 @@ def with_stems(vocabulary: DataFrame, term: str = "term") -> DataFrame:
     return vocabulary.withColumn("stem", F.pandas_udf(_stems, "string")(F.col(term)))
 
 
+def _stem_lists(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Arrays of words to arrays of their stems; each distinct word of a batch is looked up once."""
+    none = np.zeros(0, object)
+    for lists in batches:
+        arrays = [none if words is None else words for words in lists]
+        places, distinct = pd.factorize(np.concatenate([none, *arrays]))
+        stems = np.array([_remembered(w) for w in distinct], dtype=object)[places]
+        ends = np.cumsum([len(words) for words in arrays], dtype=int)
+        made = pd.Series(index=lists.index, dtype=object)
+        made[:] = np.split(stems, ends[:-1]) if len(arrays) else []
+        yield made
+
+
 def porter_counts(docs: DataFrame, doc_id: str = "id_submission", text: str = "text_data") -> DataFrame:
-    """``stem, occurrences, docs`` of the English field under Porter's rules."""
-    words = docs.select(F.col(doc_id).alias("doc_id"), F.explode(english_words(tokens(F.col(text)))).alias("term"))
-    held = words.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    vocabulary = words.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    named = lookup(held, with_stems(vocabulary), "term", "n", F.col("doc_id"))
-    per_doc = named.groupBy("doc_id", "stem").agg(F.sum("tf").alias("tf"))
+    """``stem, occurrences, docs`` of the English field under Porter's rules.
+
+    Words are counted and stemmed inside the row of their text, so one row per document and stem is
+    shuffled once, and no word meets a vocabulary.
+    """
+    ship_package(docs.sparkSession)
+    held = docs.select(F.col(doc_id).alias("doc_id"), counted(english_words(tokens(F.col(text)))).alias("held"))
+    stems = F.pandas_udf(_stem_lists, "array<string>")(F.col("held.term"))
+    named = held.select("doc_id", F.explode(F.arrays_zip(stems.alias("stem"), F.col("held.n").alias("n"))).alias("h")).select("doc_id", "h.stem", "h.n")
+    # Rows of a document hardly ever share a stem: nothing to add up before the shuffle.
+    per_doc = named.repartition("doc_id", "stem").groupBy("doc_id", "stem").agg(F.sum("n").alias("tf"))
     return per_doc.groupBy("stem").agg(F.sum("tf").alias("occurrences"), F.count(F.lit(1)).alias("docs"))

@@ -29,6 +29,15 @@ def test_counts(spark):
     assert {r.term: r.stem for r in stemming.with_stems(empty).collect()} == {"word": "word", None: None}
 
 
+def test_words_are_shuffled_once(spark):
+    """One row per document and stem, and no join with a vocabulary; repeated and missing ids are one document each."""
+    rows = [(1, "agency agencies rules"), (1, "the agency"), (None, "rules"), (None, "ruling rules"), (2, "rule")]
+    counts = stemming.porter_counts(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 2
+    assert {r.stem: (r.occurrences, r.docs) for r in counts.collect()} == {"agenc": (3, 1), "rule": (5, 3)}
+
+
 def test_a_job_adds_an_annotator(spark, tmp_path):
     rows = spark.createDataFrame([("1", "Shout!", "2017-05-01")], "id_submission string, text_data string, date_disseminated string")
     plain = annotate(rows)
