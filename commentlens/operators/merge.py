@@ -35,13 +35,15 @@ def merge_analysis(
     key: str = "id_submission",
     struct: str = "analysis",
     present: str | None = None,
+    broadcast: bool = False,
 ) -> DataFrame:
     """Deep-merge sparse ``patch`` rows into the ``analysis`` struct.
 
     A leaf that ``patch`` has as a column is written, null included; a leaf it lacks keeps its old
     value. When rows differ in what they carry, ``present`` names a column of leaf names, and only
     those are written for that row. Ids not in ``stored`` are ignored. Of patch rows with the same
-    id one is taken, by content, so that no stored row is ever doubled.
+    id one is taken, by content, so that no stored row is ever doubled. With ``broadcast``, for a patch
+    of few rows, the stored rows are not shuffled.
     """
     kind = stored.schema[struct].dataType
     leaves = [f.name for f in kind.fields if f.name in patch.columns]
@@ -51,7 +53,7 @@ def merge_analysis(
     values = F.struct(*leaves, *([present] if present else [])).alias("_patch")
     content = F.sha2(F.to_json("_patch"), 256)
     single = patch.select(key, values).groupBy(key).agg(F.max_by("_patch", content).alias("_patch"))
-    joined = stored.join(single, key, "left")
+    joined = stored.join(F.broadcast(single) if broadcast else single, key, "left")
     has_patch = F.col("_patch").isNotNull()
     fields = []
     for f in kind.fields:

@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import asdict, dataclass, field
+from datetime import date
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +38,8 @@ TABLE = T.StructType(
 # before a commit puts them into one.
 BUCKETS = 32
 PARTS = 8
+# Patch rows that are broadcast at once; a day with more is joined by a shuffle.
+PATCH_ROWS = 200_000
 # Earlier states of a table that stay readable after a commit.
 RETAIN = 1
 
@@ -204,13 +207,15 @@ def places(spark: SparkSession, path: str, manifest: Manifest, ids: DataFrame) -
 
 
 # --- writing ------------------------------------------------------------------------------------
-def _write(rows: DataFrame, folder: str, by: str) -> set[str]:
-    """One folder for each value of ``by``; returns the values.
+def _write(rows: DataFrame, folder: str, by: str, rebalance: bool = True) -> set[str]:
+    """One folder for each value of ``by``; returns the values in ``folder``.
 
     The rebalance lets adaptive execution split a value with a large share of the data over many
-    tasks and put small ones together, so files are neither huge nor tiny.
+    tasks and put small ones together, so files are neither huge nor tiny. Rows that stayed in the
+    tasks that read their files need none: a task writes one file for each value it has read.
     """
-    rows.hint("rebalance", by).write.partitionBy(by).parquet(folder)
+    dealt = rows.hint("rebalance", by) if rebalance else rows
+    dealt.write.mode("append").option("compression", "zstd").partitionBy(by).parquet(folder)
     return {n.split("=", 1)[1] for n in _names(rows.sparkSession, folder) if n.startswith(f"{by}=")}
 
 
@@ -257,14 +262,35 @@ def update_analysis(
     if before is None:
         raise FileNotFoundError(f"no comment table in {path}")
     small = materialize(patch, "patch")
-    days = _days_of(places(spark, path, before, small))
-    if days:
+    placed = materialize(places(spark, path, before, small), "places")
+    # One number per day partition: a few thousand at most over a docket's life.
+    counts = {str(r[DAY]): r["count"] for r in placed.groupBy(DAY).count().collect()}
+    if counts:
         version = f"{before.number + 1:010d}-{uuid.uuid4().hex[:8]}"
-        stored = _read_days(spark, path, before, days, None)
-        written = _write(merge_analysis(stored, small, KEY, present=present), f"{path}/rows/v={version}", DAY)
+        written = set()
+        for days in _day_groups(counts, PATCH_ROWS):
+            stored = _read_days(spark, path, before, days, None)
+            ids = placed.filter(F.col(DAY).isin([date.fromisoformat(d) for d in days])).select(KEY)
+            few = sum(counts[d] for d in days) <= PATCH_ROWS
+            merged = merge_analysis(stored, small.join(ids, KEY, "left_semi"), KEY, present=present, broadcast=few)
+            written |= _write(merged, f"{path}/rows/v={version}", DAY, rebalance=not few)
         _commit(spark, path, Manifest(before.number + 1, before.buckets, before.days | {d: version for d in written}, before.ids))
         _expire(spark, path, retain)
-    discard(small)
+    discard(small, placed)
+
+
+def _day_groups(counts: dict[str, int], most: int) -> list[set[str]]:
+    """Days that are patched together, by their numbers of patch rows: ``most`` rows a group; all
+    days with more than that are one group."""
+    groups, room = [], 0
+    for day in sorted(d for d in counts if counts[d] <= most):
+        if counts[day] > room:
+            groups.append(set())
+            room = most
+        groups[-1].add(day)
+        room -= counts[day]
+    large = {d for d in counts if counts[d] > most}
+    return groups + ([large] if large else [])
 
 
 def backlog(comments: DataFrame) -> DataFrame:

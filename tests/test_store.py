@@ -154,3 +154,29 @@ def test_corrections_are_no_repeats(spark, tmp_path):
     _rows(spark, ("1", "old", "2017-05-01"), ("1", "old", "2017-05-01"), ("1", "new", "2017-05-02")).write.json(f"{source}/a")
     ingest.upsert_stream(ingest.filing_stream(spark, f"{source}/*"), table, str(tmp_path / "state")).awaitTermination()
     assert _show(spark, table) == [("1", "new", "2017-05-02")]
+
+
+def test_patch_does_not_shuffle_stored_rows(spark, tmp_path, monkeypatch):
+    """Days are patched in groups of few patch rows, read and written where they lie; a day with more goes by a shuffle."""
+    monkeypatch.setattr(store, "PATCH_ROWS", 3)
+    table, days = str(tmp_path / "table"), {1: 2, 2: 1, 3: 2, 4: 7, 5: 1}
+    ids = [(f"{d}-{i}", f"text {d} {i}", f"2017-05-0{d}") for d, n in days.items() for i in range(n)]
+    rows = spark.createDataFrame(ids, "id_submission string, text_data string, at string").withColumn("date_disseminated", F.to_timestamp("at")).drop("at")
+    daily.ingest(spark, rows, table)
+    before = {r.id_submission: r for r in store.read_comments(spark, table).collect()}
+    real, written = store._write, []
+
+    def write(rows, folder, by, rebalance=True):
+        written.append((rebalance, rows._jdf.queryExecution().executedPlan().toString()))
+        return real(rows, folder, by, rebalance)
+
+    monkeypatch.setattr(store, "_write", write)
+    patch = spark.createDataFrame([(i, f"src {i}") for i, _, at in ids if at != "2017-05-05"] + [("gone", "x")], "id_submission string, source string")
+    store.update_analysis(spark, table, patch)
+    assert [r for r, _ in written] == [False, False, True]
+    assert all("SortMergeJoin" not in plan and "BroadcastHashJoin" in plan for r, plan in written if not r)
+    after = {r.id_submission: r for r in store.read_comments(spark, table).collect()}
+    assert after.keys() == before.keys()
+    for i, row in after.items():
+        assert row.analysis.source == (before[i].analysis.source if i.startswith("5") else f"src {i}")
+        assert row.text_data == before[i].text_data and row.day == before[i].day and row.analysis.words == before[i].analysis.words
