@@ -72,6 +72,23 @@ def test_pairs_against_brute_force(spark, sample):
     assert {tuple(r) for r in similarity.similar_pairs(split, ids, ids).collect()} == expected
 
 
+def test_index_holds_numbers_and_looks_words_up(spark):
+    """What is grouped, stored and joined carries no spelled word; words of equal score still come in order."""
+    texts = ["delta alpha alpha charlie", "bravo delta charlie alpha", "Zulu bravo", "bravo  ZULU", None, "!"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    index = similarity.build_index(docs, similarity.Params(min_df=2), "doc_id", "text")
+    assert "string" not in index.rows.schema.simpleString()
+    plan = similarity.shape_words(index)._jdf.queryExecution().executedPlan().toString()
+    assert "term" not in plan and "Join" not in plan
+    terms = {r.rep: r.terms for r in index.profiles.collect()}
+    assert terms == {0: ["alpha", "charlie", "delta"], 1: ["alpha", "bravo", "charlie", "delta"], 2: ["bravo", "zulu"], 3: ["bravo", "zulu"]}
+    ranked = sorted((r.rep, r["rank"], r.term) for r in similarity.query_table(index).collect())
+    assert [t for i, _, t in ranked if i == 0] == ["alpha", "charlie", "delta"]
+    assert [t for i, _, t in ranked if i == 1] == ["alpha", "charlie", "delta", "bravo"]
+    again = {r.rep: [q.term for q in r.query] for r in index.profiles.collect()}
+    assert again == {i: [t for j, _, t in ranked if j == i] for i in again}
+
+
 def test_blocks_against_brute_force(spark):
     """Candidates are neither joined nor shuffled; blocks of any size give the same pairs."""
     rng = random.Random(5)

@@ -84,3 +84,9 @@ def test_phrase_frequency(spark):
     df = spark.createDataFrame([("net neutrality and Net, neutrality net",), ("net",), ("",)], "t string")
     got = [r[0] for r in df.select(phrases.phrase_frequency(T.tokens(F.col("t")), "net neutrality")).collect()]
     assert got == [2, 0, 0]
+
+
+def test_counted_words(spark):
+    rows = [(["b", "a", "b", ""],), ([],), (None,), (["x"],)]
+    got = spark.createDataFrame(rows, "w array<string>").select(T.counted(F.col("w")).alias("c")).collect()
+    assert [r.c if r.c is None else [tuple(x) for x in r.c] for r in got] == [[("", 1), ("a", 1), ("b", 2)], [], None, [("x", 1)]]
