@@ -47,6 +47,23 @@ def test_components_against_union_find(spark):
     assert got == {x: find(x) for x in parent}
 
 
+def test_minima_are_copied_for_salts_that_occur_only(spark, monkeypatch):
+    """A node of one edge gets one copy, a hub one for each salt; no step is run twice inside a round."""
+    made, real = [], clusters._copies
+
+    def copies(low):
+        rows = real(low)
+        made.append({k: n for k, n in rows.groupBy("u").count().collect()})
+        return rows
+
+    monkeypatch.setattr(clusters, "_copies", copies)
+    pairs = [(1000 + i, 2000 + i) for i in range(300)] + [(1, 5000 + i) for i in range(200)]
+    got = {r.node: r.component for r in clusters.connected_components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == {x: min(p) for p in pairs for x in p}
+    assert made[0] == {1: clusters.SALT, **{1000 + i: 1 for i in range(300)}}
+    assert all(sum(m.values()) <= len(pairs) for m in made)
+
+
 @pytest.fixture(scope="module")
 def sample(spark):
     return spark.read.parquet(DOCS).filter("doc_id < 90").select("doc_id", "text")
@@ -135,6 +152,25 @@ def test_clusters_are_components_of_all_pairs(spark, sample):
     assert len(set(got.values())) >= len({label[d] for p in pairs for d in p})
 
 
+def test_clusters_store_words_once(spark, sample, monkeypatch):
+    """Tables of words go when they are done, and components are stored without words."""
+    shared, before, compared, real = Path(shared_dir(spark).removeprefix("file:")), set(), [], similarity.checked
+    before.update(p.name for p in shared.iterdir())
+
+    def checked(candidates, queries, shapes):
+        compared.append(candidates.count())
+        return real(candidates, queries, shapes)
+
+    monkeypatch.setattr(similarity, "checked", checked)
+    index, ids = _index(sample), sample.select("doc_id")
+    members = clusters.cluster_members(index, ids, ids)
+    left = {p.name.rsplit("-", 1)[0] for p in shared.iterdir() if p.name not in before}
+    assert not left & {"words", "keys", "texts", "queries", "target-shapes", "placed-query_id", "placed-shape", "placed-queries", "placed-shapes", "late-matches"}, left
+    assert members.count() > 0 and len(compared) == 2
+    similarity.similar_pairs(index, ids, ids).count()
+    assert not {p.name.rsplit("-", 1)[0] for p in shared.iterdir() if p.name not in before} & {"queries", "shapes"}
+
+
 def test_latest_version_inside_one_run(spark):
     rows = [(2, "2017-05-01 09:00:00", "new"), (2, "2017-05-01 01:00:00", "old"), (3, None, "none"), (3, "2017-05-01 01:00:00", "dated")]
     df = spark.createDataFrame(rows, "id_submission long, date_disseminated string, text_data string").withColumn("ingested_at", F.lit(1))
