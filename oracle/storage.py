@@ -172,10 +172,16 @@ def reannotate(spark, sf):
 
 
 # --- files --------------------------------------------------------------------------------------
+# Stored bytes of documents that go to one file of filings at most, on average.
+FILE_BYTES = 64 << 20
+
+
 def file_count(spark, sf: str, parts: int = 4) -> int:
-    """Files to write: ``parts`` of a small table, and so many times more of a larger one that a file stays
-    about as large as a split of the input."""
-    return parts * -(-spark.read.parquet(f"{sf}/documents.parquet").rdd.getNumPartitions() // parts)
+    """Files to write: ``parts`` of a small table, and so many times more of a larger one that a file is no
+    larger than a split of the input, nor than ``FILE_BYTES`` where cores and settings make large splits."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    stored = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return parts * -(-max(docs.rdd.getNumPartitions(), -(-stored // FILE_BYTES)) // parts)
 
 
 def write_json(rows, path: str, files: int) -> None:
@@ -429,12 +435,13 @@ def stream_volume_by_source(spark, sf):
 def stream_restart(spark, sf):
     """A stream stops and starts again: what comes a second time was seen before and is not written."""
     path, target, state = (scratch_path(spark, n) for n in ("filings", "comments", "ingest-state"))
-    rows = v.filings(spark, sf)
-    start = lambda: ingest.upsert_stream(ingest.filing_stream(spark, f"{path}/*", 100, "17-108"), target, state)
-    write_json(rows.filter("doc_id % 2 = 0"), f"{path}/part=1", file_count(spark, sf))
+    rows, files = v.filings(spark, sf), file_count(spark, sf)
+    # One batch a run, at any size.
+    start = lambda: ingest.upsert_stream(ingest.filing_stream(spark, f"{path}/*", max(100, files), "17-108"), target, state)
+    write_json(rows.filter("doc_id % 2 = 0"), f"{path}/part=1", files)
     start().awaitTermination()
     first = store.read_comments(spark, target).agg(F.max(store.ORDER)).first()[0]
-    write_json(rows, f"{path}/part=2", file_count(spark, sf))
+    write_json(rows, f"{path}/part=2", files)
     start().awaitTermination()
     run = F.when(F.col(store.ORDER) <= F.lit(first), 1).otherwise(2).alias("run")
     return store.read_comments(spark, target).select("id_submission", F.col("day").cast("string").alias("day"), "analysis.source", run)

@@ -306,3 +306,20 @@ def test_files_grow_with_the_input(spark, documents):
         assert splits <= storage.file_count(spark, documents) < splits + 4
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_files_are_bounded_in_bytes(spark, documents, monkeypatch):
+    """A reader that makes one split of everything must not make files that grow with the input."""
+    old = spark.conf.get("spark.sql.files.minPartitionNum", None)
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        stored = sum(p.stat().st_size for p in Path(documents, "documents.parquet").glob("*.parquet"))
+        assert spark.read.parquet(f"{documents}/documents.parquet").rdd.getNumPartitions() == 1
+        monkeypatch.setattr(storage, "FILE_BYTES", 1000, raising=False)
+        assert stored / 1000 <= storage.file_count(spark, documents) < stored / 1000 + 5
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        if old is not None:
+            spark.conf.set("spark.sql.files.minPartitionNum", old)
