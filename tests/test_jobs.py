@@ -128,6 +128,28 @@ def test_blocks_against_brute_force(spark):
     assert sorted((bytes(r[0]).decode(), bytes(r[1]).decode()) for r in apart) == sorted((q, s) for q, s in expected if q[-1] != s[-1])
 
 
+def test_blocks_give_a_forest(spark):
+    """Texts that all match each other are as many pairs as texts, not as pairs; what they connect is the same."""
+    words = list(range(20))
+    comp = lambda name: name.encode()
+    held = [(f"s{i}".encode(), words + [100 + i], comp(f"c{i}")) for i in range(120)] + [(b"far", list(range(500, 520)), comp("far"))]
+    shapes = spark.createDataFrame(held, "shape binary, words array<long>, comp binary")
+    # Half of the queries have components of shapes, half have some that no block holds.
+    asked = [(f"q{i}".encode(), words, 16, 5, [(1, w) for w in words[:9]], comp(f"c{i}" if i % 2 else f"x{i}")) for i in range(100)]
+    queries = spark.createDataFrame(asked, "query_id binary, numbers array<long>, need int, hits int, probes array<struct<nd:long,number:long>>, comp binary")
+    whole = {(bytes(a), bytes(b)) for a, b in blocks.matches(queries, shapes).collect()}
+    assert len(whole) == 100 * 120 - 50
+    some = [(bytes(a), bytes(b)) for a, b in blocks.matches(queries, shapes, 10**6, words=1, forest=True).collect()]
+    assert set(some) <= whole and len(some) <= 120 + 100 * spark.sparkContext.defaultParallelism
+    label = {q: c for q, *_, c in map(lambda r: (bytes(r[0]), bytes(r[-1])), asked)} | {s: bytes(c) for s, _, c in held}
+
+    def groups(pairs):
+        edges = spark.createDataFrame([(label[a].decode(), label[b].decode()) for a, b in pairs], "a string, b string")
+        return {r.node: r.component for r in clusters.connected_components(edges).collect()}
+
+    assert groups(some) == groups(whole)
+
+
 def test_rows_and_partitions_do_not_matter(spark, sample):
     ids = sample.select("doc_id")
     first = similarity.similar_pairs(_index(sample), ids, ids)
