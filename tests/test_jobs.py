@@ -3,6 +3,7 @@
 import random
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,6 +107,52 @@ def test_index_holds_numbers_and_looks_words_up(spark):
     assert again == {i: [t for j, _, t in ranked if j == i] for i in again}
 
 
+def test_pairs_are_made_in_blocks(spark, monkeypatch):
+    """Neither matches nor pairs are joined or shuffled; lists of members and batches of any size give the same rows."""
+    rng = random.Random(8)
+    texts = [" ".join(rng.sample([f"word{i}" for i in range(14)], 10)) for _ in range(12)]
+    # Copies that differ in case, an id that comes twice, a missing id and a missing text.
+    rows = [(f"d{i:03}", t.upper() if i % 5 == 0 else t) for i, t in enumerate(texts * 4 + texts[:1] * 40)]
+    docs = spark.createDataFrame([*rows, rows[3], (None, texts[0]), ("none", None)], "doc_id string, text string")
+    index = similarity.build_index(docs, similarity.Params(min_df=2, min_terms=3), "doc_id", "text")
+    seeds = spark.createDataFrame([(d,) for d, _ in rows if d < "d070"], "doc_id string")
+    targets = spark.createDataFrame([(d,) for d, _ in rows if d >= "d010"], "doc_id string")
+    times = lambda d: 2 if d == rows[3][0] else 1
+    words = {d: set(t.lower().split()) for d, t in rows}
+    expected = sorted(
+        (a, b) for a in words for b in words for _ in range(times(a) * times(b)) if a < "d070" and b >= "d010" and a != b and len(words[a] & words[b]) >= 8
+    )
+    assert len(expected) > 1000
+    for members in (1_000, 3):
+        monkeypatch.setattr(similarity, "MEMBERS", members)
+        pairs = similarity.similar_pairs(index, seeds, targets)
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan
+        assert sorted((r.seed, r.doc_id) for r in pairs.collect()) == expected
+    lists = similarity._member_lists(spark.range(100).select(F.col("id").alias("doc_id"), F.lit("one").alias("shape")), "shape").collect()
+    assert len(lists) > 20 and sorted(d for r in lists for d in r.members) == list(range(100))
+
+
+def test_pairs_leave_a_block_in_bounded_batches(monkeypatch):
+    """A block hands on ``OUT_ROWS`` pairs at once, and no more than the last match has beyond."""
+    monkeypatch.setattr(blocks, "OUT_ROWS", 50)
+
+    def rows(kind, ids, members):
+        n = len(ids)
+        return pa.record_batch({
+            "block": pa.array([0] * n, pa.int32()), "kind": pa.array([kind] * n, pa.int32()), "id": pa.array([i.encode() for i in ids], pa.binary()),
+            "numbers": pa.array([[1, 2, 3]] * n, pa.list_(pa.int64())), "comp": pa.nulls(n, pa.binary()), "probes": pa.array([3 * kind] * n, pa.int32()),
+            "need": pa.array([2 * kind] * n, pa.int32()), "hits": pa.array([2 * kind] * n, pa.int32()), "members": pa.array(members, pa.list_(pa.string())),
+        })
+
+    held = [[f"t{i}-{j}" for j in range(i)] for i in range(1, 9)]
+    asked = [[f"q{i}-{j}" for j in range(i)] for i in range(1, 7)]
+    got = list(blocks._meet(iter([rows(0, [f"s{i}" for i in range(8)], held), rows(1, [f"q{i}" for i in range(6)], asked).slice(1)])))
+    pairs = [(r["seed"], r["doc_id"]) for b in got for r in b.to_pylist()]
+    assert sorted(pairs) == sorted((a, b) for q in asked[1:] for a in q for s in held for b in s)
+    assert len(got) > 10 and max(b.num_rows for b in got) < 50 + 48
+
+
 def test_blocks_against_brute_force(spark):
     """Candidates are neither joined nor shuffled; blocks of any size give the same pairs."""
     rng = random.Random(5)
