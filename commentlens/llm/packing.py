@@ -64,10 +64,10 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            ids, texts = batch.column(0).to_pylist(), batch.column(1)
             for a, b in in_lots(texts):
                 rows: list[tuple] = []
-                for doc, tokens in zip(ids[a:b], encode.texts(texts[a:b])):
+                for doc, tokens in zip(ids[a:b], encode.texts(texts[a:b].to_pylist())):
                     wide = tokens.astype("<u4")
                     for s in range(0, len(wide), length):
                         piece = wide[s : s + length]

@@ -168,9 +168,9 @@ def write_index(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_i
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(segment_row(open_docs, number), kinds)], schema=kinds)
 
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            ids, texts = batch.column(0).to_pylist(), batch.column(1)
             for a, b in in_lots(texts):
-                for doc, tokens in zip(ids[a:b], encode.texts(texts[a:b])):
+                for doc, tokens in zip(ids[a:b], encode.texts(texts[a:b].to_pylist())):
                     # Equal ids stay in one segment's numbering unless they alone would fill it.
                     if held >= SEGMENT_IDS or len(open_docs) >= SEGMENT_DOCS:
                         yield row()

@@ -7,6 +7,8 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 # Words whose ids a worker remembers; the table is emptied when it is full.
@@ -81,19 +83,22 @@ class Encoder:
             return self._ids("\n") + self._word("\r" + word[1:])
         bare = word[1:] if word[:1] == "\r" else " " + word
         letters = word[1:] if word[:1] == "\r" else word
-        if letters.isalpha():
-            return self._ids(bare)
+        if letters.isalpha():  # remembered under its word, so not as a piece besides
+            return self.pieces.get(bare) or self._new_ids(bare)
         if letters[-1:] in (".", ",") and letters[:-1].isalpha():
-            return self._ids(bare[:-1]) + self._ids(bare[-1])
+            return (self.known.get(word[:-1]) or self._ids(bare[:-1])) + self._ids(bare[-1])
         return b"".join(map(self._ids, _PIECES.findall(bare)))
 
     def _ids(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
-            letters = piece.encode().decode("latin-1").translate(self.bytes)
-            ids = self.pieces[piece] = array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
+            ids = self.pieces[piece] = self._new_ids(piece)
         return ids
 
+    def _new_ids(self, piece: str) -> bytes:
+        letters = piece.encode().decode("latin-1").translate(self.bytes)
+        return array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
+
 
 def _byte_letters() -> list[str]:
     """The letter that stands for each byte: itself when it can be seen, else the next free one."""
@@ -113,11 +118,12 @@ def encoder(path: str) -> Encoder:
     return _worker[path]
 
 
-def in_lots(texts: list[str | None], chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``chars`` characters together, so that memory stays bounded."""
+def in_lots(texts: pa.Array, chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``chars`` characters together, so that memory stays bounded: a caller makes
+    strings of one range at a time."""
     start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t or "")
+    for i, n in enumerate(pc.utf8_length(texts).to_pylist()):
+        size += n or 0
         if size >= chars:
             yield start, i + 1
             start, size = i + 1, 0

@@ -5,13 +5,14 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from commentlens.llm import decontaminate, licenses, line_dedup, ngram_join, packing, pii, quality, queries, sharding, token_index, url_filter
-from commentlens.llm.tokens import Encoder, public_tokenizer
+from commentlens.llm.tokens import Encoder, in_lots, public_tokenizer
 from oracle.compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -138,6 +139,17 @@ def test_derived_links():
                 assert got[i, j] == (100 * both >= 85 * (len(a) + len(b) - both))
 
 
+def test_worker_remembers_a_word_once():
+    """Plain words are remembered under their word only; strings are made of one range of texts at a time."""
+    encoder, plain = Encoder(public_tokenizer()), Tokenizer.from_file(public_tokenizer())
+    texts = ["alpha beta gamma. delta beta, beta", "gamma alpha delta.", "x42 gamma\ndelta. gamma, epsilon"]
+    for text, ids in zip(texts, encoder.texts(texts)):
+        assert ids.tolist() == [*plain.encode(text, add_special_tokens=False).ids, 0]
+    assert not {"alpha", " alpha", " epsilon"} & set(encoder.pieces) and {"beta", "\ralpha", "epsilon"} <= set(encoder.known)
+    column = pa.array(["abc", None, "\u00e9\u00e9\u00e9", "", "abcdefgh", None])
+    assert list(in_lots(column, 6)) == [(0, 3), (3, 5), (5, 6)] and list(in_lots(column[:0], 6)) == []
+
+
 def test_tokens_equal_the_librarys():
     encoder = Encoder(public_tokenizer(), memory=50)
     odd = ["a  b", "\n x", " \n  y\t z\x0b w", "x\x85 y", " lead", "trail ", " ", "", "\n", "a\n's b", "it's 'll", "<|endoftext|> a", "<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|>b.", "\r\n a", "1\n2 3.4", "a\x1c b"]
