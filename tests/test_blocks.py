@@ -90,6 +90,27 @@ def test_blocks_are_asked_in_rounds(spark, variants):
     assert sorted((bytes(q), bytes(s)) for q, s in blocks.together(tables).collect()) == whole
 
 
+def test_the_largest_component_has_its_own_blocks(spark):
+    """Its queries are not sent there; what is found is the same, in rounds too."""
+    words = list(range(20))
+    held = [(f"s{i}".encode(), [*words, 100 + i], b"big" if i % 2 else f"c{i}".encode()) for i in range(200)]
+    shapes = spark.createDataFrame([*held, (b"none", words, None)], "shape binary, words array<int>, comp binary")
+    asked = [(f"q{i}".encode(), words, 16, 5, [(1, w) for w in words[:9]], b"big" if i % 3 else f"c{i}".encode()) for i in range(60)] + [(b"qn", words, 16, 5, [(1, w) for w in words[:9]], None)]
+    queries = spark.createDataFrame(asked, "query_id binary, numbers array<int>, need int, hits int, probes array<struct<nd:long,number:int>>, comp binary")
+    rows = lambda tables: sorted((bytes(q), bytes(s)) for q, s in blocks.together(tables).collect())
+    whole = rows(blocks.stored_matches(queries, shapes, "matches"))
+    for size in (10**6, 300):
+        assert rows(blocks.stored_matches(queries, shapes, "matches", block_words=size, apart=(b"big", 0.5))) == whole
+    assert len(whole) == 40 * 101 + 20 * 201 - 10 + 201
+
+    block, asks = blocks._dealt(8, range(8), (b"big", 0.5))
+    own = {r[0] for r in shapes.filter("comp = 'big'").select(block).collect()}
+    assert len(own) == 4 and own.isdisjoint({r[0] for r in shapes.filter("comp is null or comp <> 'big'").select(block).collect()})
+    sent = {r.query_id: set(r.to) for r in queries.select("query_id", asks.alias("to")).collect()}
+    assert sent[b"q1"] == set(range(8)) - own and sent[b"q0"] == sent[b"qn"] == set(range(8))
+    assert clusters._largest(shapes.filter("comp is not null")) == (b"big", 0.5)
+
+
 def test_words_have_four_bytes(variants):
     """Numbers have no gaps and are in the order of the words."""
     index = variants[2]
